@@ -1,176 +1,163 @@
-"""Bigram cosine distance between names, as native column expressions.
+"""Bigram cosine distance between names, as native SQL expressions.
 
 A name is a multiset of overlapping two-character grams. Grams are held as numbers: both
 code points packed into one long, which is one-to-one. Spark compiles and hashes array
 operations for longs but not for strings. Each name is reduced once, before any join, to
 its distinct grams, the repeats beyond the first occurrence, and its squared norm; a pair
 then costs one array intersection plus a little work on the few repeats.
+
+Expressions are SQL text, so that a whole formula reaches the session in one call; wrap a
+text in ``F.expr`` to use it alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from idweave.functions.normalize import FAMILY, FULL, GIVEN
 from idweave.spec import UNCOMPARABLE
 
-MARK = "\u0001"
 REGISTRY_NAMES = {GIVEN: "p_nombres_reg", FAMILY: "p_apellidos_reg", FULL: "p_nombres_apellidos_reg"}
 
+# Two code points take 42 bits; the rank of a common gram goes above them.
+CODE_BITS, POINT_BITS = 42, 21
+
 
-def bigrams(name: Column) -> Column:
+def bigrams(name: str) -> str:
     """Overlapping two-character grams; none for a null or shorter name."""
-    starts = F.sequence(F.lit(1), F.length(name) - 1)
-    grams = F.transform(starts, lambda i: F.substring(name, i, F.lit(2)))
-    return F.when(F.length(name) >= 2, grams).otherwise(F.array().cast("array<string>"))
+    return (
+        f"if(length({name}) >= 2, "
+        f"transform(sequence(1, length({name}) - 1), i -> substring({name}, i, 2)), cast(array() as array<string>))"
+    )
 
 
-def gram_code(gram: Column) -> Column:
-    first, second = F.ascii(gram), F.ascii(F.substring(gram, 2, 1))
-    return F.shiftleft(first.cast("long"), 21).bitwiseOR(second.cast("long"))
+def gram_code(gram: str) -> str:
+    return f"(shiftleft(cast(ascii({gram}) as bigint), {POINT_BITS}) | cast(ascii(substring({gram}, 2, 1)) as bigint))"
 
 
-def gram_codes(name: Column, rank_text: str = "") -> Column:
-    """Gram codes of a name: equal grams side by side, rare grams first.
+def gram_codes(name: str, ranking: Sequence[int] = ()) -> str:
+    """Sorted gram codes of a name. Codes in ``ranking`` sort behind all others and in its
+    order; it holds common grams, the most common last, so rare grams come first.
 
-    ``rank_text`` lists common grams, each behind a mark, the most common last. A gram that
-    is not listed counts as rare. Any order gives the same distances.
+    Ranking renumbers grams one-to-one, so it never changes a distance.
     """
+    code = gram_code("g")
+    if ranking:
+        ranks = f"array({', '.join(f'{r}L' for r in ranking)})"
+        code = f"(shiftleft(array_position({ranks}, {code}), {CODE_BITS}) | {code})"
+    return f"array_sort(transform({bigrams(name)}, g -> {code}))"
 
-    def ranked(gram: Column) -> Column:
-        rank = F.position(F.concat(F.lit(MARK), gram), F.lit(rank_text)) if rank_text else F.lit(0)
-        return F.struct(rank.alias("rank"), gram_code(gram).alias("code"))
-
-    return F.transform(F.array_sort(F.transform(bigrams(name), ranked)), lambda s: s["code"])
 
+def distinct_codes(codes: str) -> str:
+    return f"array_distinct({codes})"
 
-def distinct_codes(codes: Column) -> Column:
-    return F.array_distinct(codes)
 
+def repeated_codes(codes: str) -> str:
+    """Every occurrence after the first one of sorted codes."""
+    return f"filter({codes}, (g, i) -> i > 0 and get({codes}, i - 1) = g)"
 
-def repeated_codes(codes: Column) -> Column:
-    """Every occurrence after the first one; equal codes must be side by side."""
-    return F.filter(codes, lambda x, i: (i > 0) & (F.get(codes, i - 1) == x))
 
+def _occurrences(codes: str, gram: str) -> str:
+    return f"(size({codes}) - size(array_remove({codes}, {gram})))"
 
-def _run(state: Column, code: Column) -> Column:
-    return F.when(state["last"] == code, state["run"] + 1).otherwise(F.lit(1).cast("long"))
 
+def _repeats_product(a: str, b: str) -> str:
+    walk = f"aggregate({a}, 0, (n, g) -> n + {_occurrences(b, 'g')})"
+    return f"if(size({a}) > 0 and size({b}) > 0, {walk}, 0)"
 
-def squared_norm(codes: Column) -> Column:
-    """Sum of squared gram counts; equal codes must be side by side."""
 
-    def step(state: Column, code: Column) -> Column:
-        run = _run(state, code)
-        return F.struct(code.alias("last"), run.alias("run"), (state["total"] + 2 * run - 1).alias("total"))
+def squared_norm(distinct: str, repeats: str) -> str:
+    """Sum of squared gram counts: the dot product of the name with itself."""
+    return f"(size({distinct}) + 2 * size({repeats}) + {_repeats_product(repeats, repeats)})"
 
-    zero = F.lit(0).cast("long")
-    start = F.struct(F.lit(None).cast("long").alias("last"), zero.alias("run"), zero.alias("total"))
-    return F.aggregate(codes, start, step, lambda s: s["total"])
 
+def dot(a: str, b: str) -> str:
+    """Dot product of two gram count vectors prepared by ``with_grams``.
 
-def prefix_size(codes: Column, norm2: Column, cosine: float) -> Column:
-    """How many leading distinct grams can decide whether a cosine of ``cosine`` is in reach.
-
-    Let two names share grams, and let w be the first shared one in the common order. If w
-    lies outside this prefix of either name, all shared grams lie in a tail that holds less
-    than ``cosine`` squared of that name's squared norm, so by Cauchy-Schwarz the pair stays
-    below ``cosine``. Pairs at or above it therefore have w in both prefixes.
+    With counts split into "present" (0/1) and "repeats", the product has four terms. The
+    last three walk the repeats only, of which a name has few.
     """
 
-    def step(state: Column, code: Column) -> Column:
-        run = _run(state, code)
-        opens = (run == 1) & ((norm2 - state["total"]) >= F.lit(cosine * cosine) * norm2)
-        return F.struct(
-            code.alias("last"),
-            run.alias("run"),
-            (state["total"] + 2 * run - 1).alias("total"),
-            (state["size"] + F.when(opens, 1).otherwise(0)).alias("size"),
-        )
-
-    zero = F.lit(0).cast("long")
-    start = F.struct(
-        F.lit(None).cast("long").alias("last"), zero.alias("run"), zero.alias("total"), F.lit(0).alias("size")
+    def found(repeats: str, distinct: str) -> str:
+        return f"if(size({repeats}) > 0, size(filter({repeats}, g -> array_contains({distinct}, g))), 0)"
+
+    return (
+        f"(size(array_intersect({a}_u, {b}_u)) + {found(f'{a}_x', f'{b}_u')} + {found(f'{b}_x', f'{a}_u')}"
+        f" + {_repeats_product(f'{a}_x', f'{b}_x')})"
     )
-    return F.aggregate(codes, start, step, lambda s: s["size"])
 
 
-def with_grams(df: DataFrame, names: Mapping[str, str], rank_text: str = "") -> DataFrame:
-    """For each ``prefix: name column`` add ``<prefix>_codes``, ``_u`` (distinct codes),
-    ``_x`` (repeats) and ``_n2`` (squared norm)."""
-    df = df.withColumns({f"{p}_codes": gram_codes(F.col(c), rank_text) for p, c in names.items()})
-    features = {}
-    for p in names:
-        codes = F.col(f"{p}_codes")
-        features |= {
-            f"{p}_u": distinct_codes(codes),
-            f"{p}_x": repeated_codes(codes),
-            f"{p}_n2": squared_norm(codes),
-        }
-    return df.withColumns(features)
+def distance(a: str, b: str) -> str:
+    """Cosine distance (32-bit) of two names prepared by ``with_grams``."""
+    cosine = f"{dot(a, b)} / sqrt({a}_n2) / sqrt({b}_n2)"
+    return f"cast(if({a}_n2 = 0 or {b}_n2 = 0, {UNCOMPARABLE}D, 1 - abs({cosine})) as float)"
 
 
-def dot(a: str, b: str) -> Column:
-    """Dot product of two gram count vectors prepared by ``with_grams``.
+def prefix_size(side: str, cosine: float) -> str:
+    """How many leading grams can decide whether a cosine of ``cosine`` is in reach.
 
-    With counts split into "present" (0/1) and "repeats", the product has four terms. The
-    last three walk the repeats only, of which a name has few.
+    Let two names share grams, and let w be the first shared one in the common order. If w
+    lies outside this prefix of either name, all shared grams lie in a tail that holds less
+    than ``cosine`` squared of that name's squared norm, so by Cauchy-Schwarz the pair stays
+    below ``cosine``. Pairs at or above it therefore have w in both prefixes.
     """
-    ua, xa, ub, xb = (F.col(c) for c in (f"{a}_u", f"{a}_x", f"{b}_u", f"{b}_x"))
-
-    def repeats_in(x: Column, u: Column) -> Column:
-        return F.when(F.size(x) > 0, F.size(F.filter(x, lambda g: F.array_contains(u, g)))).otherwise(0)
-
-    both = F.when(
-        (F.size(xa) > 0) & (F.size(xb) > 0),
-        F.aggregate(xa, F.lit(0), lambda acc, g: acc + F.size(xb) - F.size(F.array_remove(xb, g))),
-    ).otherwise(0)
-    return F.size(F.array_intersect(ua, ub)) + repeats_in(xa, ub) + repeats_in(xb, ua) + both
+    count = f"(1 + {_occurrences(f'{side}_x', 'g')})"
+    return (
+        f"aggregate({side}_u, named_struct('total', 0, 'size', 0), (s, g) -> named_struct("
+        f"'total', s.total + {count} * {count}, "
+        f"'size', s.size + if({side}_n2 - s.total >= {cosine * cosine!r}D * {side}_n2, 1, 0)), s -> s.size)"
+    )
 
 
-def distance(a: str, b: str) -> Column:
-    """Cosine distance (32-bit) of two names prepared by ``with_grams``."""
-    na, nb = F.col(f"{a}_n2"), F.col(f"{b}_n2")
-    cosine = dot(a, b) / F.sqrt(na) / F.sqrt(nb)
-    return F.when((na == 0) | (nb == 0), F.lit(UNCOMPARABLE)).otherwise(1 - F.abs(cosine)).cast("float")
+def with_grams(df: DataFrame, names: Mapping[str, str], ranking: Sequence[int] = ()) -> DataFrame:
+    """For each ``prefix: name column`` add ``<prefix>_u`` (distinct codes), ``_x`` (repeats)
+    and ``_n2`` (squared norm)."""
+    keep = df.columns
+    df = df.selectExpr(*keep, *[f"{gram_codes(c, ranking)} as {p}_codes" for p, c in names.items()])
+    df = df.selectExpr(
+        *keep,
+        *[f"{distinct_codes(f'{p}_codes')} as {p}_u" for p in names],
+        *[f"{repeated_codes(f'{p}_codes')} as {p}_x" for p in names],
+    )
+    return df.selectExpr("*", *[f"{squared_norm(f'{p}_u', f'{p}_x')} as {p}_n2" for p in names])
 
 
 def with_distance(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
     """For each ``out: (name column, name column)`` add the distance column ``out``."""
-    names = {}
+    names: dict[str, str] = {}
     for i, (a, b) in enumerate(pairs.values()):
         names |= {f"_a{i}": a, f"_b{i}": b}
     keep = df.columns
-    df = with_grams(df, names)
-    return df.select(*keep, *[distance(f"_a{i}", f"_b{i}").alias(out) for i, out in enumerate(pairs)])
+    return with_grams(df, names).selectExpr(
+        *keep, *[f"{distance(f'_a{i}', f'_b{i}')} as {out}" for i, out in enumerate(pairs)]
+    )
 
 
-def set_cosine(a: Column, b: Column) -> Column:
+def set_cosine(a: str, b: str) -> str:
     """Cosine of two character sets; null when either is empty or null."""
-    sa, sb = (F.array_distinct(F.split(c, "")) for c in (a, b))
-    return F.when(
-        (F.length(a) > 0) & (F.length(b) > 0),
-        F.size(F.array_intersect(sa, sb)) / F.sqrt((F.size(sa) * F.size(sb)).cast("double")),
+    sa, sb = (f"array_distinct(split({c}, ''))" for c in (a, b))
+    return (
+        f"if(length({a}) > 0 and length({b}) > 0, "
+        f"size(array_intersect({sa}, {sb})) / sqrt(size({sa}) * size({sb})), null)"
     )
 
 
-def name_weights(given: Column, given_reg: Column, family: Column, family_reg: Column) -> tuple[Column, Column]:
+def name_weights(given: str, given_reg: str, family: str, family_reg: str) -> tuple[str, str]:
     """Weights of given names and surnames: the shorter part weighs more.
 
     Null when a part has no length on either side, which leaves the full name to decide.
     """
-    inv_given = F.try_divide(F.lit(1.0), F.greatest(F.length(given), F.length(given_reg)))
-    inv_family = F.try_divide(F.lit(1.0), F.greatest(F.length(family), F.length(family_reg)))
-    total = inv_given + inv_family
-    return F.try_divide(inv_given, total), F.try_divide(inv_family, total)
+    inv_given = f"try_divide(1D, greatest(length({given}), length({given_reg})))"
+    inv_family = f"try_divide(1D, greatest(length({family}), length({family_reg})))"
+    total = f"({inv_given} + {inv_family})"
+    return f"try_divide({inv_given}, {total})", f"try_divide({inv_family}, {total})"
 
 
-def combined_score(full: Column, given: Column, family: Column, w_given: Column, w_family: Column) -> Column:
+def combined_score(full: str, given: str, family: str, w_given: str, w_family: str) -> str:
     """The worse of the full-name distance and the weighted distance of the parts."""
-    return F.greatest(full.cast("double"), given * w_given + family * w_family)
+    return f"greatest(cast({full} as double), {given} * {w_given} + {family} * {w_family})"
 
 
 def has_parts(columns) -> bool:
@@ -191,13 +178,7 @@ def with_name_score(
     """
     if not parts:
         return with_distance(df, {out: (FULL, registry[FULL])})
-    given, family = (F.col(c) for c in (GIVEN, FAMILY))
-    given_reg, family_reg = F.col(registry[GIVEN]), F.col(registry[FAMILY])
     scored = with_distance(df, {f"_d_{c}": (c, registry[c]) for c in (FULL, GIVEN, FAMILY)})
-    score = combined_score(
-        F.col(f"_d_{FULL}"),
-        F.col(f"_d_{GIVEN}"),
-        F.col(f"_d_{FAMILY}"),
-        *name_weights(given, given_reg, family, family_reg),
-    )
-    return scored.select(*df.columns, score.alias(out))
+    weights = name_weights(GIVEN, registry[GIVEN], FAMILY, registry[FAMILY])
+    score = combined_score(f"_d_{FULL}", f"_d_{GIVEN}", f"_d_{FAMILY}", *weights)
+    return scored.selectExpr(*df.columns, f"{score} as {out}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from idweave.operators.uniqueness import COPIES, expand, stage_of, unique_on
@@ -57,22 +57,17 @@ def cascade_stepwise(
     return reduce(DataFrame.unionByName, parts), pivot, registry
 
 
-def _key(columns: Sequence[str]) -> Column:
+def _key(columns: Sequence[str]) -> str:
     """One text per key value: one-to-one, null when any part is null."""
-    parts = []
-    for c in columns:
-        text = F.col(c).cast("string")
-        parts += [F.length(text).cast("string"), F.lit(":"), text]
-    return F.concat(*parts)
+    parts = [f"length(cast({c} as string)), ':', cast({c} as string)" for c in columns]
+    return f"concat({', '.join(parts)})"
 
 
 def _unfold_keys(df: DataFrame, rules: Sequence[tuple[int, Rule]], keep: Sequence[str]) -> DataFrame:
     """One row per rule the row can take part in: kept columns, rule number, key text."""
-    entries = []
-    for i, rule in rules:
-        key = _key(rule.keys)
-        entries.append(F.when(key.isNotNull(), F.struct(F.lit(i).alias("rule_no"), key.alias("rule_key"))))
-    return df.select(*keep, F.inline(F.array_compact(F.array(*entries))))
+    entries = [f"named_struct('rule_no', {i}, 'rule_key', {_key(rule.keys)})" for i, rule in rules]
+    unfolded = df.selectExpr(*keep, f"inline(array({', '.join(entries)}))")
+    return unfolded.where("rule_key is not null")
 
 
 def registry_keys(stages: Sequence[DataFrame], rules: Sequence[Rule], keep: Sequence[str] = ()) -> DataFrame:
@@ -107,14 +102,13 @@ def matched_pairs(
     ``copies`` = False leaves equal registry rows folded, for callers that take distinct
     matches anyway.
     """
-    numbers = range(len(rules))
-    key = F.coalesce(*[F.when(F.col("rule_no") == i, _key(rules[i].keys)) for i in numbers])
-    label = F.element_at(F.array(*[F.lit(r.label) for r in rules]), F.col("rule_no") + 1)
+    keys = " ".join(f"when {i} then {_key(r.keys)}" for i, r in enumerate(rules))
+    labels = ", ".join(f"'{r.label}'" for r in rules)
     columns = [c for c in assigned.columns if c not in (PERSON, "rule_no")]
-    won = assigned.where(F.col("rule_no").isNotNull()).withColumn("rule_key", key)
+    won = assigned.where("rule_no is not null").selectExpr("*", f"case rule_no {keys} end as rule_key")
     people = registry_keys(stages, rules, [PERSON, COPIES])
     pairs = won.join(people, ["rule_no", "rule_key"], "inner")
-    pairs = pairs.select(PERSON, *columns, label.alias(LABEL), COPIES)
+    pairs = pairs.selectExpr(PERSON, *columns, f"element_at(array({labels}), rule_no + 1) as {LABEL}", COPIES)
     return expand(pairs) if copies else pairs.drop(COPIES)
 
 
@@ -132,5 +126,5 @@ def cascade(
         nothing = F.lit(None).cast("string")
         return empty.select(nothing.alias(PERSON), *columns, nothing.alias(LABEL)), pivot
     assigned = work.store(assign_rules(stages, pivot, rules), "assigned")
-    rest = assigned.where(F.col("rule_no").isNull()).drop("rule_no")
+    rest = assigned.where("rule_no is null").drop("rule_no")
     return matched_pairs(stages, assigned, rules, copies), rest

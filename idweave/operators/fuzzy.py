@@ -16,53 +16,50 @@ Dates within some days are found by an equi-join on buckets of that many days.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from idweave.functions.normalize import FAMILY, FULL, GIVEN
 from idweave.functions.similarity import (
-    MARK,
     REGISTRY_NAMES,
     bigrams,
     dot,
+    gram_code,
     prefix_size,
     with_grams,
     with_name_score,
 )
-from idweave.operators.cascade import LABEL, PERSON, ROW
+from idweave.operators.cascade import LABEL, PERSON
 from idweave.operators.validate import SCORE
 from idweave.spec import THRESHOLD, FuzzyRule
 
 RANKED_GRAMS = 400
 
 
-def common_grams(registry: DataFrame, size: int = RANKED_GRAMS) -> str:
-    """The ``size`` most common full-name grams as a rank text, the most common last.
+def common_grams(registry: DataFrame, size: int = RANKED_GRAMS) -> list[int]:
+    """Codes of the ``size`` most common full-name grams, the most common last.
 
     One small aggregate; at most ``size`` rows reach the driver whatever the table holds.
     """
     top = (
-        registry.select(F.explode(bigrams(F.col(FULL))).alias("gram"))
+        registry.selectExpr(f"explode({bigrams(FULL)}) as gram")
         .groupBy("gram")
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), "gram")
         .limit(size)
+        .selectExpr(f"{gram_code('gram')} as code", "n")
     )
-    return "".join(MARK + row.gram for row in reversed(top.collect()))
+    return [row.code for row in sorted(top.collect(), key=lambda row: (row.n, row.code))]
 
 
-def _profiles(df: DataFrame, block: Sequence[str], names: Sequence[str]) -> DataFrame:
-    usable = reduce(Column.__and__, [F.col(c).isNotNull() for c in block]) & (F.length(FULL) >= 2)
-    return df.where(usable).select(*block, *names, *[c for c in (PERSON,) if c in df.columns])
-
-
-def _unfold(df: DataFrame, side: str, cosine: float) -> DataFrame:
-    """One row per gram of the prefix."""
-    prefix = F.slice(F.col(f"{side}_u"), F.lit(1), F.col("_size"))
-    df = df.withColumn("_size", prefix_size(F.col(f"{side}_codes"), F.col(f"{side}_n2"), cosine))
-    return df.withColumn("_gram", F.explode(prefix)).drop("_size", f"{side}_codes")
+def _unfold(df: DataFrame, side: str, name: str, cosine: float, ranking: Sequence[int]) -> DataFrame:
+    """One row per gram of the prefix of ``name``, with what ``dot`` needs."""
+    keep = df.columns
+    df = with_grams(df, {side: name}, ranking)
+    features = [f"{side}_u", f"{side}_x", f"{side}_n2"]
+    df = df.selectExpr(*keep, *features, f"{prefix_size(side, cosine)} as _size")
+    return df.selectExpr(*keep, *features, f"explode(slice({side}_u, 1, _size)) as _gram")
 
 
 def fuzzy_pairs(
@@ -73,7 +70,7 @@ def fuzzy_pairs(
     days: int,
     parts: bool,
     threshold: float = THRESHOLD,
-    rank_text: str | None = None,
+    ranking: Sequence[int] | None = None,
 ) -> DataFrame:
     """Pairs of profiles with close full names: pivot profile columns, person, day difference,
     score. Every pair whose score is below ``threshold`` is among them.
@@ -82,53 +79,43 @@ def fuzzy_pairs(
     are broken.
     """
     names = [GIVEN, FAMILY, FULL] if parts else [FULL]
-    block = [sex, date]
-    if rank_text is None:
-        rank_text = common_grams(registry)
+    profile = [sex, date, *names]
+    if ranking is None:
+        ranking = common_grams(registry)
     # An accepted distance is below the threshold, so the cosine is above one minus it; the
     # margin covers rounding to 32 bits.
     cosine = 1 - threshold - 1e-6
+    usable = f"{sex} is not null and {date} is not null and length({FULL}) >= 2"
 
-    people = _profiles(registry, block, names).groupBy(*block, *names).agg(F.min(PERSON).alias(PERSON))
-    people = people.select(
-        sex, F.col(date).alias("_date_reg"), *[F.col(c).alias(REGISTRY_NAMES[c]) for c in names], PERSON
+    people = registry.where(usable).groupBy(*profile).agg(F.min(PERSON).alias(PERSON))
+    people = people.selectExpr(
+        sex, f"{date} as _date_reg", *[f"{c} as {REGISTRY_NAMES[c]}" for c in names], PERSON
     )
-    rows = _profiles(pivot.drop(PERSON), block, names).distinct()
+    rows = pivot.where(usable).select(*profile).distinct()
 
-    people = _unfold(with_grams(people, {"r": REGISTRY_NAMES[FULL]}, rank_text), "r", cosine)
-    rows = _unfold(with_grams(rows, {"p": FULL}, rank_text), "p", cosine)
+    people = _unfold(people, "r", REGISTRY_NAMES[FULL], cosine, ranking)
+    rows = _unfold(rows, "p", FULL, cosine, ranking)
 
     if days > 0:
-        width = max(days, 1)
-
-        def bucket(day: Column) -> Column:
-            return F.floor(day / width)
-
-        def day_of(column: str) -> Column:
-            return F.unix_date(F.col(column))
-
-        reach = days - 1
-        people = people.withColumn("_bucket", bucket(day_of("_date_reg")))
-        rows = rows.withColumn(
-            "_bucket", F.explode(F.sequence(bucket(day_of(date) - reach), bucket(day_of(date) + reach)))
-        )
-        on, near = [sex, "_bucket", "_gram"], F.abs(F.datediff("_date_reg", date)) < days
+        low, high = (f"floor((unix_date({date}) {sign} {days - 1}) / {days})" for sign in "-+")
+        people = people.selectExpr("*", f"floor(unix_date(_date_reg) / {days}) as _bucket")
+        rows = rows.selectExpr("*", f"explode(sequence({low}, {high})) as _bucket")
+        on, near = [sex, "_bucket", "_gram"], f"abs(datediff(_date_reg, {date})) < {days}"
     else:
-        people = people.withColumn("_day", F.col("_date_reg"))
-        rows = rows.withColumn("_day", F.col(date))
-        on, near = [sex, "_day", "_gram"], F.lit(True)
+        people = people.selectExpr("*", "_date_reg as _day")
+        rows = rows.selectExpr("*", f"{date} as _day")
+        on, near = [sex, "_day", "_gram"], "true"
 
-    shared = F.array_intersect("p_u", "r_u")
-    full = 1 - F.abs(dot("p", "r") / F.sqrt("p_n2") / F.sqrt("r_n2"))
+    first_shared = "get(array_intersect(p_u, r_u), 0) = _gram"
+    close_names = f"cast(1 - abs({dot('p', 'r')} / sqrt(p_n2) / sqrt(r_n2)) as float) < {threshold}D"
     close = (
         rows.join(people, on, "inner")
-        .where(near)
-        .where(F.get(shared, F.lit(0)) == F.col("_gram"))
-        .where(full.cast("float") < threshold)
-        .withColumn("_days", F.abs(F.datediff("_date_reg", date)))
-        .select(*block, *names, *[REGISTRY_NAMES[c] for c in names], PERSON, "_days")
+        .where(f"{near} and {first_shared} and {close_names}")
+        .selectExpr(
+            *profile, *[REGISTRY_NAMES[c] for c in names], PERSON, f"abs(datediff(_date_reg, {date})) as _days"
+        )
     )
-    return with_name_score(close, SCORE, parts).select(*block, *names, PERSON, "_days", SCORE)
+    return with_name_score(close, SCORE, parts).select(*profile, PERSON, "_days", SCORE)
 
 
 def fuzzy_match(
@@ -137,7 +124,7 @@ def fuzzy_match(
     rules: Sequence[FuzzyRule],
     parts: bool,
     threshold: float = THRESHOLD,
-    rank_text: str | None = None,
+    ranking: Sequence[int] | None = None,
 ) -> DataFrame:
     """Pivot rows matched by the first rule that accepts anyone: person, pivot columns,
     label, score.
@@ -149,49 +136,42 @@ def fuzzy_match(
     (sex, date), days = rules[0].block, max(r.days for r in rules)
     if any(r.block != (sex, date) for r in rules):
         raise ValueError("fuzzy rules searched together must share their block columns")
-    pairs = fuzzy_pairs(registry, pivot, sex, date, days, parts, threshold, rank_text)
+    pairs = fuzzy_pairs(registry, pivot, sex, date, days, parts, threshold, ranking)
 
-    admits = [F.col("_days") == 0 if r.days == 0 else F.col("_days") < r.days for r in rules]
-    rule_no = F.coalesce(*[F.when(a, i) for i, a in enumerate(admits)])
+    admits = [f"when {'_days = 0' if r.days == 0 else f'_days < {r.days}'} then {i}" for i, r in enumerate(rules)]
+    order = f"named_struct('rule', case {' '.join(admits)} end, 'score', {SCORE}, 'person', {PERSON})"
+    accepted = f"min(if({SCORE} < {threshold}D and case {' '.join(admits)} end is not null, {order}, null)) as _best"
     profile = [c for c in pairs.columns if c not in (PERSON, "_days", SCORE)]
-    accept = (F.col(SCORE) < threshold) & F.col("_rule").isNotNull()
-    best = (
-        pairs.withColumn("_rule", rule_no)
-        .groupBy(*profile)
-        .agg(F.min(F.when(accept, F.struct("_rule", SCORE, PERSON))).alias("_best"))
-        .where(F.col("_best").isNotNull())
-    )
-    best = best.select(*[F.col(c).alias(f"_q_{c}") for c in profile], "_best")
-    always = {sex, date, FULL}
-    same = reduce(
-        Column.__and__,
-        [F.col(c) == F.col(f"_q_{c}") if c in always else F.col(c).eqNullSafe(F.col(f"_q_{c}")) for c in profile],
-    )
+    best = pairs.groupBy(*profile).agg(F.expr(accepted)).where("_best is not null")
+    best = best.selectExpr(*[f"{c} as _q_{c}" for c in profile], "_best")
+    # Block columns and the full name are never null here; the name parts may be.
+    same = " and ".join(f"{c} {'=' if c in (sex, date, FULL) else '<=>'} _q_{c}" for c in profile)
     columns = [c for c in pivot.columns if c != PERSON]
-    label = F.element_at(F.array(*[F.lit(r.label) for r in rules]), F.col("_best._rule") + 1)
-    return pivot.select(*columns).join(best, same, "inner").select(
-        F.col(f"_best.{PERSON}").alias(PERSON),
+    labels = ", ".join(f"'{r.label}'" for r in rules)
+    return pivot.select(*columns).join(best, F.expr(same), "inner").selectExpr(
+        f"_best.person as {PERSON}",
         *columns,
-        label.alias(LABEL),
-        F.col(f"_best.{SCORE}").alias(SCORE),
+        f"element_at(array({labels}), _best.rule + 1) as {LABEL}",
+        f"_best.score as {SCORE}",
     )
 
 
-def fuzzy_block(registry: DataFrame, pivot: DataFrame, rule: FuzzyRule, parts: bool, threshold: float = THRESHOLD) -> DataFrame:
+def fuzzy_block(
+    registry: DataFrame, pivot: DataFrame, rule: FuzzyRule, parts: bool, threshold: float = THRESHOLD
+) -> DataFrame:
     """Best accepted match inside sex + same date."""
     return fuzzy_match(registry, pivot, [rule], parts, threshold)
 
 
-def fuzzy_range(registry: DataFrame, pivot: DataFrame, rule: FuzzyRule, parts: bool, threshold: float = THRESHOLD) -> DataFrame:
+def fuzzy_range(
+    registry: DataFrame, pivot: DataFrame, rule: FuzzyRule, parts: bool, threshold: float = THRESHOLD
+) -> DataFrame:
     """Best accepted match inside sex + date less than ``rule.days`` away."""
     return fuzzy_match(registry, pivot, [rule], parts, threshold)
 
 
 def used_once(matches: DataFrame) -> DataFrame:
     """Matches whose person occurs once. A group of one is its row (see ``unique_on``)."""
-    row = F.any_value(F.struct(*[F.col(c) for c in matches.columns])).alias("_row")
-    groups = matches.groupBy(PERSON).agg(F.count(F.lit(1)).alias("_n"), row)
+    row = F.expr(f"any_value(struct({', '.join(matches.columns)})) as _row")
+    groups = matches.groupBy(PERSON).agg(F.expr("count(*) as _n"), row)
     return groups.where("_n = 1").select("_row.*")
-
-
-__all__ = ["ROW", "common_grams", "fuzzy_block", "fuzzy_match", "fuzzy_pairs", "fuzzy_range", "used_once"]

@@ -18,17 +18,17 @@ def residual_join(pivot: DataFrame, names: DataFrame) -> DataFrame:
     return attach_names(pivot.select(own.cast("string").alias(PERSON), *columns), names)
 
 
-def _settle(scored: DataFrame, accepted, label: str) -> DataFrame:
+def _settle(scored: DataFrame, accepted: str, label: str) -> DataFrame:
     best = best_candidate(scored, accepted)
-    return best.select(*[c for c in best.columns if c != SCORE], F.lit(label).alias(LABEL), SCORE)
+    return best.select(*[c for c in scored.columns if c != SCORE], F.lit(label).alias(LABEL), SCORE)
 
 
 def residual_matches(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    return _settle(scored, F.col(SCORE) < threshold, LABEL_RESIDUAL)
+    return _settle(scored, f"{SCORE} < {threshold}D", LABEL_RESIDUAL)
 
 
 def not_found(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    return _settle(scored, F.col(SCORE) >= threshold, LABEL_NOT_FOUND)
+    return _settle(scored, f"{SCORE} >= {threshold}D", LABEL_NOT_FOUND)
 
 
 def score_residual(joined: DataFrame, parts: bool) -> DataFrame:

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from idweave.operators.rowid import unfold_copies
@@ -15,10 +14,6 @@ from idweave.spec import Rule
 COPIES = "copies"
 
 
-def _any_null(columns: Sequence[str]) -> Column:
-    return reduce(Column.__or__, [F.col(c).isNull() for c in columns])
-
-
 def unique_on(
     df: DataFrame, columns: Sequence[str], null_key_is_duplicate: bool = True, copies: str | None = None
 ) -> DataFrame:
@@ -28,24 +23,24 @@ def unique_on(
     are folded before the shuffle and none is ever held as a whole, however hot its key.
     ``copies`` names a column that says how many equal rows a row stands for.
     """
-    row = F.any_value(F.struct(*[F.col(c) for c in df.columns])).alias("_row")
-    size = F.sum(copies) if copies else F.count(F.lit(1))
+    row = F.expr(f"any_value(struct({', '.join(df.columns)})) as _row")
+    size = F.expr(f"sum({copies}) as _n" if copies else "count(*) as _n")
 
     def alone(part: DataFrame) -> DataFrame:
-        groups = part.groupBy(*columns).agg(size.alias("_n"), row)
-        return groups.where("_n = 1").select("_row.*")
+        return part.groupBy(*columns).agg(size, row).where("_n = 1").select("_row.*")
 
     if null_key_is_duplicate:
         return alone(df)
-    return alone(df.where(~_any_null(columns))).unionByName(df.where(_any_null(columns)))
+    null_key = " or ".join(f"{c} is null" for c in columns)
+    return alone(df.where(f"not ({null_key})")).unionByName(df.where(null_key))
 
 
 def ambiguous_on(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows that share their key with another row. The semi join leaves hot keys splittable."""
-    shared = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    shared = shared.select(*[F.col(c).alias(f"_k_{c}") for c in columns])
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in columns])
-    return df.join(shared, same, "left_semi")
+    shared = df.groupBy(*columns).agg(F.expr("count(*) as _n")).where("_n > 1")
+    shared = shared.selectExpr(*[f"{c} as _k_{c}" for c in columns])
+    same = " and ".join(f"{c} <=> _k_{c}" for c in columns)
+    return df.join(shared, F.expr(same), "left_semi")
 
 
 def compact(df: DataFrame) -> DataFrame:

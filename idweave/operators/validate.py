@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from idweave.functions.normalize import FAMILY, FULL, GIVEN
@@ -19,8 +17,8 @@ NAMES = [REGISTRY_NAMES[c] for c in (GIVEN, FAMILY, FULL)]
 
 def registry_names(registry: DataFrame, *more: str) -> DataFrame:
     """Person id and names, the names renamed for use beside pivot columns."""
-    renamed = [F.col(c).alias(REGISTRY_NAMES[c]) for c in (GIVEN, FAMILY, FULL)]
-    return registry.select(PERSON, *renamed, *more)
+    renamed = [f"{c} as {REGISTRY_NAMES[c]}" for c in (GIVEN, FAMILY, FULL)]
+    return registry.selectExpr(PERSON, *renamed, *more)
 
 
 def attach_names(matches: DataFrame, names: DataFrame) -> DataFrame:
@@ -28,24 +26,24 @@ def attach_names(matches: DataFrame, names: DataFrame) -> DataFrame:
     return left_lookup(matches, names, PERSON, [ROW])
 
 
-def best_candidate(df: DataFrame, accept: Column | None = None, score: str = SCORE, by: str = ROW) -> DataFrame:
+def best_candidate(df: DataFrame, accept: str = "true", score: str = SCORE, by: str = ROW) -> DataFrame:
     """The accepted row with the lowest score of each ``by``; ties go to the lowest person id.
 
     A grouped minimum, so candidates are thinned before the shuffle. ``accept`` is tested
     inside the aggregate: as a filter, the optimizer would copy the whole score expression
     below every projection that builds it.
     """
-    rest = [c for c in df.columns if c not in (by, score, PERSON)]
-    order = F.struct(score, PERSON, *[c for c in NAMES if c in rest], *[c for c in rest if c not in NAMES])
-    if accept is not None:
-        order = F.when(accept, order)
-    best = df.groupBy(by).agg(F.min(order).alias("_best")).where(F.col("_best").isNotNull())
-    return best.select(*[F.col(c) if c == by else F.col(f"_best.{c}") for c in df.columns])
+    columns = df.columns
+    rest = [c for c in columns if c not in (by, score, PERSON)]
+    order = [score, PERSON, *[c for c in NAMES if c in rest], *[c for c in rest if c not in NAMES]]
+    lowest = f"min(if({accept}, struct({', '.join(order)}), null)) as _best"
+    best = df.groupBy(by).agg(F.expr(lowest)).where("_best is not null")
+    return best.selectExpr(*[c if c == by else f"_best.{c}" for c in columns])
 
 
 def validate(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Best accepted match of each pivot row."""
-    return best_candidate(scored, F.col(SCORE) < threshold).drop(SCORE)
+    return best_candidate(scored, f"{SCORE} < {threshold}D").drop(SCORE)
 
 
 def recovered(matches: DataFrame, validated: DataFrame) -> DataFrame:
@@ -54,13 +52,10 @@ def recovered(matches: DataFrame, validated: DataFrame) -> DataFrame:
     Pivot columns follow from the row id, so row id, person, label and the attached names
     stand for whole rows.
     """
-    keys = [ROW, PERSON, LABEL, *NAMES]
-    chosen = validated.select(*[F.col(c).alias(f"_v_{c}") for c in keys])
-    same: Column = reduce(
-        Column.__and__,
-        [F.col(c) == F.col(f"_v_{c}") if c == ROW else F.col(c).eqNullSafe(F.col(f"_v_{c}")) for c in keys],
-    )
-    return matches.join(chosen, same, "left_anti").distinct()
+    keys = [PERSON, LABEL, *NAMES]
+    chosen = validated.selectExpr(*[f"{c} as _v_{c}" for c in (ROW, *keys)])
+    same = " and ".join([f"{ROW} = _v_{ROW}", *[f"{c} <=> _v_{c}" for c in keys]])
+    return matches.join(chosen, F.expr(same), "left_anti").distinct()
 
 
 def score_matches(matches: DataFrame, parts: bool) -> DataFrame:
