@@ -34,7 +34,7 @@ from idweave.operators.cascade import LABEL, PERSON
 from idweave.operators.validate import SCORE
 from idweave.spec import THRESHOLD, FuzzyRule
 
-RANKED_GRAMS = 400
+RANKED_GRAMS = 128
 
 
 def common_grams(registry: DataFrame, size: int = RANKED_GRAMS) -> list[int]:
@@ -54,12 +54,16 @@ def common_grams(registry: DataFrame, size: int = RANKED_GRAMS) -> list[int]:
 
 
 def _unfold(df: DataFrame, side: str, name: str, cosine: float, ranking: Sequence[int]) -> DataFrame:
-    """One row per gram of the prefix of ``name``, with what ``dot`` needs."""
+    """One row per gram of the prefix of ``name``, with what ``dot`` needs.
+
+    A prefix is never empty here. The outer form of explode only keeps the optimizer from
+    testing that by repeating the whole gram computation in filters.
+    """
     keep = df.columns
     df = with_grams(df, {side: name}, ranking)
     features = [f"{side}_u", f"{side}_x", f"{side}_n2"]
     df = df.selectExpr(*keep, *features, f"{prefix_size(side, cosine)} as _size")
-    return df.selectExpr(*keep, *features, f"explode(slice({side}_u, 1, _size)) as _gram")
+    return df.selectExpr(*keep, *features, f"explode_outer(slice({side}_u, 1, _size)) as _gram")
 
 
 def fuzzy_pairs(
@@ -99,7 +103,7 @@ def fuzzy_pairs(
     if days > 0:
         low, high = (f"floor((unix_date({date}) {sign} {days - 1}) / {days})" for sign in "-+")
         people = people.selectExpr("*", f"floor(unix_date(_date_reg) / {days}) as _bucket")
-        rows = rows.selectExpr("*", f"explode(sequence({low}, {high})) as _bucket")
+        rows = rows.selectExpr("*", f"explode_outer(sequence({low}, {high})) as _bucket")
         on, near = [sex, "_bucket", "_gram"], f"abs(datediff(_date_reg, {date})) < {days}"
     else:
         people = people.selectExpr("*", "_date_reg as _day")
@@ -110,7 +114,10 @@ def fuzzy_pairs(
     close_names = f"cast(1 - abs({dot('p', 'r')} / sqrt(p_n2) / sqrt(r_n2)) as float) < {threshold}D"
     close = (
         rows.join(people, on, "inner")
-        .where(f"{near} and {first_shared} and {close_names}")
+        .where(near)
+        # Behind coalesce, or the optimizer infers that every gram array is not null and
+        # repeats its computation in filters far below.
+        .where(f"coalesce({first_shared} and {close_names}, false)")
         .selectExpr(
             *profile, *[REGISTRY_NAMES[c] for c in names], PERSON, f"abs(datediff(_date_reg, {date})) as _days"
         )

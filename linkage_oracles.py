@@ -301,7 +301,8 @@ MAPPED = ", ".join(
 
 
 def r6(x: str, name: str) -> str:
-    return f"round(cast({x} as double), 6) {name}"
+    # Adding zero turns a negative zero into the plain one.
+    return f"round(cast({x} as double), 6) + 0.0::double {name}"
 
 
 def all_sql() -> dict[str, str]:
