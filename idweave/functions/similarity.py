@@ -21,9 +21,13 @@ from idweave.spec import UNCOMPARABLE
 
 REGISTRY_NAMES = {GIVEN: "p_nombres_reg", FAMILY: "p_apellidos_reg", FULL: "p_nombres_apellidos_reg"}
 
-# Two code points take 42 bits; the rank of a common gram goes above them.
+# Two code points take 42 bits; the rank of a gram goes above them.
 CODE_BITS, POINT_BITS = 42, 21
 
+# Grams are ranked by slots, five low bits of either code point: letters fall into slots of
+# their own, other characters share them.
+SLOTS = 1024
+
 
 def bigrams(name: str) -> str:
     """Overlapping two-character grams; none for a null or shorter name."""
@@ -33,21 +37,28 @@ def bigrams(name: str) -> str:
     )
 
 
-def gram_code(gram: str) -> str:
-    return f"(shiftleft(cast(ascii({gram}) as bigint), {POINT_BITS}) | cast(ascii(substring({gram}, 2, 1)) as bigint))"
+def points(name: str) -> str:
+    """Code points of a name."""
+    return f"transform(split({name}, ''), c -> cast(ascii(c) as bigint))"
+
 
+def gram_slot(code: str) -> str:
+    return f"cast(((shiftright({code}, {POINT_BITS}) & 31) * 32 + ({code} & 31)) as int)"
 
-def gram_codes(name: str, ranking: Sequence[int] = ()) -> str:
-    """Sorted gram codes of a name. Codes in ``ranking`` sort behind all others and in its
-    order; it holds common grams, the most common last, so rare grams come first.
 
-    Ranking renumbers grams one-to-one, so it never changes a distance.
+def gram_codes(points: str, ranking: Sequence[int] = ()) -> str:
+    """Sorted gram codes of a name given as a column of code points; none for a null or
+    shorter name.
+
+    ``ranking`` gives each slot its place. It renumbers grams one-to-one, so it orders them
+    (rare first, if common slots have high places) and never changes a distance.
     """
-    code = gram_code("g")
+    head, tail = (f"slice({points}, {start}, size({points}) - 1)" for start in (1, 2))
+    codes = f"zip_with({head}, {tail}, (a, b) -> shiftleft(a, {POINT_BITS}) | b)"
     if ranking:
-        ranks = f"array({', '.join(f'{r}L' for r in ranking)})"
-        code = f"(shiftleft(array_position({ranks}, {code}), {CODE_BITS}) | {code})"
-    return f"array_sort(transform({bigrams(name)}, g -> {code}))"
+        places = f"array({', '.join(f'{r}L' for r in ranking)})"
+        codes = f"transform({codes}, g -> shiftleft(get({places}, {gram_slot('g')}), {CODE_BITS}) | g)"
+    return f"if(size({points}) >= 2, sort_array({codes}), cast(array() as array<bigint>))"
 
 
 def distinct_codes(codes: str) -> str:
@@ -91,8 +102,12 @@ def dot(a: str, b: str) -> str:
 
 def distance(a: str, b: str) -> str:
     """Cosine distance (32-bit) of two names prepared by ``with_grams``."""
-    cosine = f"{dot(a, b)} / sqrt({a}_n2) / sqrt({b}_n2)"
-    return f"cast(if({a}_n2 = 0 or {b}_n2 = 0, {UNCOMPARABLE}D, 1 - abs({cosine})) as float)"
+    return _distance(f"{a}_n2", f"{b}_n2", dot(a, b))
+
+
+def _distance(norm_a: str, norm_b: str, product: str) -> str:
+    cosine = f"{product} / sqrt({norm_a}) / sqrt({norm_b})"
+    return f"cast(if({norm_a} = 0 or {norm_b} = 0, {UNCOMPARABLE}D, 1 - abs({cosine})) as float)"
 
 
 def prefix_size(side: str, cosine: float) -> str:
@@ -112,10 +127,11 @@ def prefix_size(side: str, cosine: float) -> str:
 
 
 def with_grams(df: DataFrame, names: Mapping[str, str], ranking: Sequence[int] = ()) -> DataFrame:
-    """For each ``prefix: name column`` add ``<prefix>_u`` (distinct codes), ``_x`` (repeats)
-    and ``_n2`` (squared norm)."""
+    """For each ``prefix: name`` (SQL text) add ``<prefix>_u`` (distinct codes), ``_x``
+    (repeats) and ``_n2`` (squared norm)."""
     keep = df.columns
-    df = df.selectExpr(*keep, *[f"{gram_codes(c, ranking)} as {p}_codes" for p, c in names.items()])
+    df = df.selectExpr(*keep, *[f"{points(c)} as {p}_points" for p, c in names.items()])
+    df = df.selectExpr(*keep, *[f"{gram_codes(f'{p}_points', ranking)} as {p}_codes" for p in names])
     df = df.selectExpr(
         *keep,
         *[f"{distinct_codes(f'{p}_codes')} as {p}_u" for p in names],
@@ -125,14 +141,18 @@ def with_grams(df: DataFrame, names: Mapping[str, str], ranking: Sequence[int] =
 
 
 def with_distance(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """For each ``out: (name column, name column)`` add the distance column ``out``."""
+    """For each ``out: (name column, name column)`` add the distance column ``out``.
+
+    Grams are made only where they matter: not beside a null, and once for two equal names.
+    """
     names: dict[str, str] = {}
-    for i, (a, b) in enumerate(pairs.values()):
-        names |= {f"_a{i}": a, f"_b{i}": b}
+    distances = []
+    for i, (out, (a, b)) in enumerate(pairs.items()):
+        names |= {f"_a{i}": f"if({b} is null, null, {a})", f"_b{i}": f"if({a} is null or {a} = {b}, null, {b})"}
+        equal = _distance(f"_a{i}_n2", f"_a{i}_n2", f"_a{i}_n2")
+        distances.append(f"if({a} = {b}, {equal}, {distance(f'_a{i}', f'_b{i}')}) as {out}")
     keep = df.columns
-    return with_grams(df, names).selectExpr(
-        *keep, *[f"{distance(f'_a{i}', f'_b{i}')} as {out}" for i, out in enumerate(pairs)]
-    )
+    return with_grams(df, names).selectExpr(*keep, *distances)
 
 
 def set_cosine(a: str, b: str) -> str:

@@ -23,9 +23,11 @@ from pyspark.sql import functions as F
 from idweave.functions.normalize import FAMILY, FULL, GIVEN
 from idweave.functions.similarity import (
     REGISTRY_NAMES,
-    bigrams,
+    SLOTS,
     dot,
-    gram_code,
+    gram_codes,
+    gram_slot,
+    points,
     prefix_size,
     with_grams,
     with_name_score,
@@ -34,23 +36,18 @@ from idweave.operators.cascade import LABEL, PERSON
 from idweave.operators.validate import SCORE
 from idweave.spec import THRESHOLD, FuzzyRule
 
-RANKED_GRAMS = 128
+def gram_ranking(registry: DataFrame) -> list[int]:
+    """Place of each gram slot by how often the registry's full names use it, rare first.
 
-
-def common_grams(registry: DataFrame, size: int = RANKED_GRAMS) -> list[int]:
-    """Codes of the ``size`` most common full-name grams, the most common last.
-
-    One small aggregate; at most ``size`` rows reach the driver whatever the table holds.
+    One small aggregate; there are ``SLOTS`` slots whatever the table holds.
     """
-    top = (
-        registry.selectExpr(f"explode({bigrams(FULL)}) as gram")
-        .groupBy("gram")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "gram")
-        .limit(size)
-        .selectExpr(f"{gram_code('gram')} as code", "n")
-    )
-    return [row.code for row in sorted(top.collect(), key=lambda row: (row.n, row.code))]
+    codes = registry.selectExpr(f"{points(FULL)} as points").selectExpr(f"explode({gram_codes('points')}) as code")
+    counts = codes.groupBy(F.expr(f"{gram_slot('code')} as slot")).count().collect()
+    uses = {row.slot: row["count"] for row in counts}
+    places = [0] * SLOTS
+    for place, slot in enumerate(sorted(range(SLOTS), key=lambda slot: (uses.get(slot, 0), slot))):
+        places[slot] = place
+    return places
 
 
 def _unfold(df: DataFrame, side: str, name: str, cosine: float, ranking: Sequence[int]) -> DataFrame:
@@ -85,7 +82,7 @@ def fuzzy_pairs(
     names = [GIVEN, FAMILY, FULL] if parts else [FULL]
     profile = [sex, date, *names]
     if ranking is None:
-        ranking = common_grams(registry)
+        ranking = gram_ranking(registry)
     # An accepted distance is below the threshold, so the cosine is above one minus it; the
     # margin covers rounding to 32 bits.
     cosine = 1 - threshold - 1e-6
