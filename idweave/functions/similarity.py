@@ -194,8 +194,11 @@ def with_name_score(
 ) -> DataFrame:
     """Add the name score of a pivot row against the registry names beside it.
 
-    ``parts`` = False compares full names only; the score then is a 32-bit distance.
+    ``parts`` = False compares full names only; the score then is a 32-bit distance. A pivot
+    without any full name cannot be compared.
     """
+    if FULL not in df.columns:
+        return df.selectExpr("*", f"cast({UNCOMPARABLE}D as float) as {out}")
     if not parts:
         return with_distance(df, {out: (FULL, registry[FULL])})
     scored = with_distance(df, {f"_d_{c}": (c, registry[c]) for c in (FULL, GIVEN, FAMILY)})
