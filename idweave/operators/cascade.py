@@ -99,17 +99,19 @@ def matched_pairs(
 ) -> DataFrame:
     """All people found by the winning rule of each assigned pivot row.
 
-    ``copies`` = False leaves equal registry rows folded, for callers that take distinct
-    matches anyway.
+    ``copies`` = False gives each (row, person) pair once, for callers that want distinct
+    matches: the registry side is made distinct before the join, not the wide pairs after it.
     """
     keys = " ".join(f"when {i} then {_key(r.keys)}" for i, r in enumerate(rules))
     labels = ", ".join(f"'{r.label}'" for r in rules)
     columns = [c for c in assigned.columns if c not in (PERSON, "rule_no")]
     won = assigned.where("rule_no is not null").selectExpr("*", f"case rule_no {keys} end as rule_key")
-    people = registry_keys(stages, rules, [PERSON, COPIES])
+    people = registry_keys(stages, rules, [PERSON, COPIES] if copies else [PERSON])
+    if not copies:
+        people = people.distinct()
     pairs = won.join(people, ["rule_no", "rule_key"], "inner")
-    pairs = pairs.selectExpr(PERSON, *columns, f"element_at(array({labels}), rule_no + 1) as {LABEL}", COPIES)
-    return expand(pairs) if copies else pairs.drop(COPIES)
+    shown = [PERSON, *columns, f"element_at(array({labels}), rule_no + 1) as {LABEL}"]
+    return expand(pairs.selectExpr(*shown, COPIES)) if copies else pairs.selectExpr(*shown)
 
 
 def cascade(

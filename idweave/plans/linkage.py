@@ -102,9 +102,9 @@ def link(registry: DataFrame, pivot: DataFrame, spec: LinkageSpec) -> LinkageRes
     source = left if spec.names_from == "shrunk" else stages[0]
     names = registry_names(source).distinct()
 
-    # Exact cascade. Matches are reduced to distinct rows below, so copies stay folded.
+    # Exact cascade, each pair once.
     found, rest = cascade(stages, rows, rules, work, copies=False)
-    scored = work.store(score_matches(attach_names(found.distinct(), names), parts), "scored")
+    scored = work.store(score_matches(attach_names(found, names), parts), "scored")
     validated = work.store(validate(scored, spec.threshold), "validated")
     deterministic = recovered(scored.drop(SCORE), validated)
 
