@@ -1,0 +1 @@
+import sys; sys.path.insert(0,'/root/repo')
