@@ -28,6 +28,14 @@ from idweave.sources import mapping as mapped  # noqa: E402
 from idweave.sources.writers import OUTCOMES  # noqa: E402
 from idweave.spec import FUZZY_RULES, RULES, LinkageSpec, Rule  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from idweave.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "idweave.llm"):
+        raise
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 NAMES = similarity.REGISTRY_NAMES
 REG_NAMES = list(NAMES.values())
@@ -326,7 +334,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     for i, rule in enumerate(RULES):
         out[f"d{i + 1:02d}_{rule.label}"] = partial(exact, rule)
-    return out | {
+    out |= {
         "u01_unique_key": u01,
         "u02_ambiguous_key": u02,
         "c01_unmatched": c01,
@@ -363,7 +371,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "w08_residual_no_names": partial(merged, ["residual_no_names"]),
         "w09_merged": partial(merged, None),
     }
+    if llm:
+        out |= llm.queries() | {"pipeline": corpus_pipeline.run}
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.all_sql()
+    out = oracles.all_sql()
+    if llm:
+        out |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
