@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idweave.llm import chat_format, token_count, topk_search
+from idweave.llm import chat_format, linear, quality, token_count, topk_search, toxicity
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 PLANTED_CHAT = "\\### Assistant: </turn> ok"
@@ -19,10 +19,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score_quality(docs, quality_model(docs, sf_dir), quality.host_of(F.col("source")), quality.path_of(F.col("source"), F.col("lang")))
+    return scored.select("doc_id", *quality.RESULT)
+
+
+def quality_model(docs: DataFrame, sf_dir: str) -> quality.Model:
+    labels = table(docs.sparkSession, sf_dir, "labels")
+    return quality.fit(linear.labelled_sample(docs.select("doc_id", "text"), labels, F.col("quality")))
+
+
 def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    model = toxicity.fit(linear.labelled_sample(docs, labels, F.col("toxic")))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Digests of conversations, from their windows in order; a conversation may span batches."""
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
@@ -77,7 +97,9 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_quality": op2_quality,
         "op3_topk_search": op3_topk_search,
+        "op4_toxicity": op4_toxicity,
         "op7_chat_format": op7_chat_format,
         "op10_token_count": op10_token_count,
     }
