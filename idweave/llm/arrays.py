@@ -20,6 +20,8 @@ CHUNK = 1 << 21
 #: Word separators: blank and the control characters 9 to 13.
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+#: All ASCII characters but letters and digits.
+PUNCTUATION = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -95,9 +97,9 @@ def chunks(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, n
 class Words:
     """The words of a chunk: ``start`` and ``end`` in bytes, ``first[i] .. first[i + 1]`` those of row i."""
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, lower: bool = False, separator: np.ndarray = SEPARATOR):
         self.raw = LOWER[raw] if lower else raw
-        inside = ~SEPARATOR[raw]
+        inside = ~separator[raw]
         before = np.empty_like(inside)
         before[:1] = False
         before[1:] = inside[:-1]
@@ -115,3 +117,14 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         return Ranges(self.raw).hash(self.start, self.end)
+
+
+def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each run of ``n`` words, and ``first[i] .. first[i + 1]``, those of row i. A row with fewer words
+    has its whole sequence as the only one; a row without words has none."""
+    ranges = Ranges(words.hashes())
+    count = np.diff(words.first)
+    number = np.where(count >= n, count - n + 1, np.minimum(count, 1))
+    first = np.concatenate([[0], np.cumsum(number)])
+    start = np.arange(first[-1]) - np.repeat(first[:-1], number) + np.repeat(words.first[:-1], number)
+    return ranges.hash(start, start + np.repeat(np.minimum(count, n), number)), first
