@@ -6,10 +6,20 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idweave.llm import chat_format, linear, quality, token_count, topk_search, toxicity
+from idweave.llm import (
+    chat_format,
+    decontamination,
+    linear,
+    mixing,
+    quality,
+    substring_dedup,
+    token_count,
+    topk_search,
+    toxicity,
+)
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 PLANTED_CHAT = "\\### Assistant: </turn> ok"
@@ -19,6 +29,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Wanted shares of tokens: good and clean, good and toxic, bad and clean, bad and toxic.
+TARGETS = [0.94, 0.02, 0.035, 0.005]
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = quality.score_quality(docs, quality_model(docs, sf_dir), quality.host_of(F.col("source")), quality.path_of(F.col("source"), F.col("lang")))
@@ -43,6 +61,27 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return kept.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+def domain_posterior(docs: DataFrame, sf_dir: str) -> tuple[DataFrame, Column]:
+    """``docs`` with two classifiers' evidence, and the posterior over the domains of ``TARGETS`` that it gives."""
+    texts, labels = docs.select("doc_id", "text"), table(docs.sparkSession, sf_dir, "labels")
+    toxic = toxicity.fit(linear.labelled_sample(texts, labels, F.col("toxic")))
+    good = quality.posteriors(F.col("text"), quality_model(docs, sf_dir))
+    seen = docs.select("*", good.alias("_good"), toxicity.score(F.col("text"), toxic).alias("_toxic"))
+    t = F.col("_toxic")
+    return seen, F.array(*[F.col("_good")[q] * x for q in (1, 0) for x in (1 - t, t)])
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen, posterior = domain_posterior(table(spark, sf_dir, "documents").select("doc_id", "text"), sf_dir)
+    return mixing.mixed(seen, posterior, TARGETS)
+
+
 def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Digests of conversations, from their windows in order; a conversation may span batches."""
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
@@ -97,10 +136,13 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontamination": op1_decontamination,
         "op2_quality": op2_quality,
         "op3_topk_search": op3_topk_search,
         "op4_toxicity": op4_toxicity,
+        "op6_substring_dedup": op6_substring_dedup,
         "op7_chat_format": op7_chat_format,
+        "op8_mixing": op8_mixing,
         "op10_token_count": op10_token_count,
     }
 
