@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from idweave.llm import (
     chat_format,
     decontamination,
+    jaccard_join,
     linear,
     mixing,
     quality,
@@ -61,6 +62,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), jaccard_join.Join(n=3, percent=90))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.deduplicated(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -140,6 +145,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_quality": op2_quality,
         "op3_topk_search": op3_topk_search,
         "op4_toxicity": op4_toxicity,
+        "op5_jaccard_join": op5_jaccard_join,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_chat_format": op7_chat_format,
         "op8_mixing": op8_mixing,
