@@ -17,6 +17,7 @@ from idweave.llm import (
     mixing,
     quality,
     substring_dedup,
+    suffix_dedup,
     token_count,
     topk_search,
     toxicity,
@@ -75,7 +76,7 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def domain_posterior(docs: DataFrame, sf_dir: str) -> tuple[DataFrame, Column]:
     """``docs`` with two classifiers' evidence, and the posterior over the domains of ``TARGETS`` that it gives."""
     texts, labels = docs.select("doc_id", "text"), table(docs.sparkSession, sf_dir, "labels")
-    toxic = toxicity.fit(linear.labelled_sample(texts, labels, F.col("toxic")))
+    toxic = toxicity.fit(linear.labelled_sample(texts, labels, F.col("toxic")), sizes=(5,))
     good = quality.posteriors(F.col("text"), quality_model(docs, sf_dir))
     seen = docs.select("*", good.alias("_good"), toxicity.score(F.col("text"), toxic).alias("_toxic"))
     t = F.col("_toxic")
@@ -133,6 +134,12 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return kept.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = token_count.load_vocabulary(TOKENIZER)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -149,6 +156,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_substring_dedup": op6_substring_dedup,
         "op7_chat_format": op7_chat_format,
         "op8_mixing": op8_mixing,
+        "op9_suffix_dedup": op9_suffix_dedup,
         "op10_token_count": op10_token_count,
     }
 
