@@ -54,7 +54,8 @@ class Join:
             raise ValueError("percent is 1 to 100, n is 1 or more")
         out = [1]
         while out[-1] < MAX_SIZE:
-            out.append(out[-1] * 100 // self.percent + 1)
+            # Wider bands than needed do no harm; without the second limit there would be one for each size.
+            out.append(max(out[-1] * 100 // self.percent, out[-1] * 65 // 64) + 1)
         return np.array(out)
 
     def parts(self, largest: int) -> int:
