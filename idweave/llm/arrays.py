@@ -15,7 +15,7 @@ import pyarrow as pa
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Texts are worked on in groups of about so many bytes; one longer text is a group of its own.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 
 #: Word separators: blank and the control characters 9 to 13.
 SEPARATOR = np.zeros(256, bool)
@@ -35,8 +35,8 @@ def _powers(base: int, log2: int) -> np.ndarray:
 
 def powers(base: int, n: int) -> np.ndarray:
     """``base**0 .. base**(n-1)`` modulo 2**64."""
-    log2 = max(22, int(n).bit_length())
-    if log2 > 23:
+    log2 = max(20, int(n).bit_length())
+    if log2 > 21:
         out = np.full(n, base, np.uint64)
         out[:1] = 1
         return np.cumprod(out, out=out)

@@ -28,15 +28,11 @@ TOLERANCE = 1e-4
 
 def rate_column(posterior: Column, gradients: list[np.ndarray]) -> Column:
     """The rate after these steps."""
-    if not gradients:
-        return F.lit(1.0)
-    steps = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in gradients])
-
-    def step(rate: Column, g: Column) -> Column:
-        down = sum((posterior[k] * g[k] for k in range(1, len(gradients[0]))), posterior[0] * g[0])
-        return F.greatest(F.lit(0.0), rate - down)
-
-    return F.aggregate(steps, F.lit(1.0), step)
+    rate = F.lit(1.0)
+    for g in gradients:
+        down = sum((posterior[k] * float(g[k]) for k in range(1, len(g))), posterior[0] * float(g[0]))
+        rate = F.greatest(F.lit(0.0), rate - down)
+    return rate
 
 
 def fit_gradients(rows: DataFrame, targets: list[float], steps: int = STEPS) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -83,11 +79,11 @@ def word_tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def mixed(docs: DataFrame, posterior: Column, targets: list[float], tokens: Column | None = None, id: str = "doc_id") -> DataFrame:
-    """``doc_id, tokens, posterior, rate, copies`` of all documents."""
+def mixed(docs: DataFrame, posterior: Column, targets: list[float], tokens: Column | None = None, id: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, tokens, posterior, rate, copies`` of all documents, after the columns named by ``carry``."""
     work = Workspace(docs.sparkSession)
     tokens = word_tokens(F.col("text")) if tokens is None else tokens
-    rows = work.store(docs.select(F.col(id), tokens.alias("tokens"), posterior.alias("posterior")), "posteriors")
+    rows = work.store(docs.select(*[c for c in carry if c != id], F.col(id), tokens.alias("tokens"), posterior.alias("posterior")), "posteriors")
     gradients, _ = fit_gradients(rows, targets)
     rate = rate_column(F.col("posterior"), gradients)
     return rows.withColumn("rate", rate).withColumn("copies", copies_column(F.col("rate"), F.col(id)))

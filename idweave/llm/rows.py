@@ -12,15 +12,16 @@ from pyspark.sql.window import Window
 ID_BITS = 26
 
 
-def numbered(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc_id, part, text`` of the rows with an id. Ids are unique as a rule, and ``part`` is 0; rows that share an id
-    are told apart by the order of their texts."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
+def numbered(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, part, text`` and the columns named by ``carry``. Ids are unique as a rule, and ``part`` is 0; rows that share
+    an id are told apart by the order of their texts."""
+    carry = tuple(c for c in carry if c not in ("doc_id", "part", "text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
     ids = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     if ids.where("n > 1 and doc_id is not null").isEmpty():
-        return rows.withColumn("part", F.lit(0)).select("doc_id", "part", "text")
+        return rows.withColumn("part", F.lit(0)).select("doc_id", "part", "text", *carry)
     part = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.asc_nulls_first("text"))) - 1
-    return rows.withColumn("part", part).select("doc_id", "part", "text")
+    return rows.withColumn("part", part).select("doc_id", "part", "text", *carry)
 
 
 def among(ids: DataFrame, id: Column) -> Column:

@@ -377,7 +377,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return work.store(spans.groupBy("doc_id", "part").agg(F.collect_list("s").alias("spans")), "repeated")
 
 
-def _cut(window: int):
+def _cut(window: int, carry: tuple[str, ...]):
     removed = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,24 +399,21 @@ def _cut(window: int):
                 kept.append(text[~out].tobytes())
                 turn = np.flatnonzero(np.diff(np.concatenate([[False], out, [False]]).astype(np.int8)))
                 gone.append([{"start": int(a), "end": int(b)} for a, b in zip(turn[::2], turn[1::2], strict=True)])
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "part": batch.column("part"),
-                    "kept": pa.array(kept, pa.binary()),
-                    "n_bytes": np.diff(offsets),
-                    "spans": pa.array(gone, removed),
-                }
-            )
+            made = {"kept": pa.array(kept, pa.binary()), "n_bytes": np.diff(offsets), "spans": pa.array(gone, removed)}
+            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("doc_id", "part", *carry)} | made)
 
     return cut
 
 
-def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id, part, kept`` (the remaining bytes), ``n_bytes`` of the input and the removed ``spans`` of bytes. ``part`` tells
-    rows apart that share an id."""
+def deduplicated(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, part, kept`` (the remaining bytes), ``n_bytes`` of the input and the removed ``spans`` of bytes, with the columns
+    of the input that ``carry`` names. ``part`` tells rows apart that share an id."""
     if window < 2:
         raise ValueError("a window has 2 bytes or more")
-    known = rows.numbered(docs)
-    joined = rows.meet(known, repeated_windows(known, window)).select("doc_id", "part", "text", "spans")
-    return joined.mapInArrow(_cut(window), "doc_id long, part int, kept binary, n_bytes long, spans array<struct<start:int,end:int>>")
+    known = rows.numbered(docs, carry)
+    found = repeated_windows(known.select("doc_id", "part", "text"), window)
+    joined = rows.meet(known, found)
+    types = dict(joined.dtypes)
+    carried = "".join(f"`{c}` {types[c]}, " for c in carry)
+    schema = f"doc_id long, part int, {carried}kept binary, n_bytes long, spans array<struct<start:int,end:int>>"
+    return joined.mapInArrow(_cut(window, carry), schema)
