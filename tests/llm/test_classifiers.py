@@ -1,0 +1,112 @@
+"""Classifiers by their accuracy on rows they have not seen, and their edges."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from idweave.llm import linear, quality, toxicity
+
+from .conftest import sentence
+
+
+def labelled(rng, n):
+    rows = []
+    for i in range(n):
+        toxic, good = rng.random() < 0.3, rng.random() < 0.7
+        text = sentence(rng, rng.randrange(5, 200))
+        if toxic:
+            text += " " + rng.choice(["Grumpfl", "blorkish", "éSNAZZé"]) + " " + sentence(rng, 3)
+        if not good:
+            text = text.upper() if rng.random() < 0.5 else text.replace(" ", " | ")
+        rows.append((i, text, int(good), int(toxic)))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return spark.createDataFrame(labelled(random.Random(9), 900), "doc_id long, text string, quality int, toxic int").cache()
+
+
+def split(table):
+    return table.where("doc_id % 3 > 0"), table.where("doc_id % 3 = 0")
+
+
+def test_toxicity_on_held_out_texts(table):
+    train, rest = split(table)
+    model = toxicity.fit(train.select("text", F.col("toxic").alias("label")))
+    got = rest.select("toxic", toxicity.score(F.col("text"), model).alias("score")).toPandas()
+    assert ((got["score"] >= 0.5) == got["toxic"]).mean() > 0.95
+    assert got["score"].between(0, 1).all()
+
+
+def test_toxicity_of_nothing(spark, table):
+    texts = spark.createDataFrame([(None,), ("",), ("é",), ("x" * 400_000,)], "text string")
+    empty = toxicity.fit(table.limit(0).select("text", F.col("toxic").alias("label")))
+    assert [r[0] for r in texts.select(toxicity.score(F.col("text"), empty)).collect()] == [0.5] * 4
+    one_kind = toxicity.fit(table.where("toxic = 1").select("text", F.col("toxic").alias("label")))
+    assert all(r[0] > 0.5 for r in texts.select(toxicity.score(F.col("text"), one_kind)).collect())
+    model = toxicity.fit(table.select("text", F.col("toxic").alias("label")))
+    scores = [r[0] for r in texts.select(toxicity.score(F.col("text"), model)).collect()]
+    assert scores[0] == scores[1] == scores[2] and all(0 <= x <= 1 for x in scores)
+    assert texts.limit(0).select(toxicity.score(F.col("text"), model)).count() == 0
+
+
+def test_quality_on_held_out_texts(table):
+    train, rest = split(table)
+    model = quality.fit(train.select("text", F.col("quality").alias("label")))
+    got = rest.select("quality", quality.posteriors(F.col("text"), model)[1].alias("p")).toPandas()
+    assert ((got["p"] >= 0.5) == got["quality"]).mean() > 0.95
+
+
+def test_sites_pull_documents_and_sparse_sites_shrink(spark):
+    """Against the same formulas in plain Python."""
+    rng = random.Random(2)
+    rows = []
+    for site, bad in (("http://a.org/x/1", 0.9), ("http://a.org/y/1", 0.2), ("http://b.org/", 0.1), ("plain", 0.1), (None, 0.5)):
+        for _ in range(60):
+            text = sentence(rng, 60)
+            rows.append((len(rows), text.upper() if rng.random() < bad else text, site, "x"))
+    rows += [(1000, None, "http://one.org/", "x"), (1001, "", "http://one.org/", "x"), (1001, "", "http://one.org/", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, keep string").withColumn("n", F.lit(1))
+    model = quality.fit(docs.where("length(text) > 0").select("text", (F.col("text") != F.upper("text")).cast("int").alias("label")))
+    host, path = quality.host_of(F.col("source")), quality.path_of(F.col("source"), F.lit("en"))
+    got = quality.score_quality(docs, model, host, path).toPandas()
+    assert len(got) == len(rows) and "n" in got.columns and got["keep"].dtype == bool
+    sites = {s: ("a.org", s[-3]) if s and "a.org" in s else (s.split("/")[2] if s and "/" in s else s, "en") for s in [r[2] for r in rows]}
+    where = [sites[s if isinstance(s, str) else None] for s in got["source"]]
+    p = got["doc_quality"].to_numpy()
+    n = len(p)
+    overall = (p.sum() + 0.5) / (n + 1)
+
+    def sums(keys):
+        out = {}
+        for k, x in zip(keys, p):
+            c, s = out.get(k, (0, 0.0))
+            out[k] = (c + 1, s + x)
+        return out
+
+    def prior(groups):
+        v = overall * (1 - overall)
+        spread = sum(c * (s / c - overall) ** 2 for c, s in groups.values()) - len(groups) * v
+        between = max(spread / n, 1e-9)
+        return min(max(v / between - 1, quality.PRIOR_RANGE[0]), quality.PRIOR_RANGE[1])
+
+    hosts, paths = sums([h for h, _ in where]), sums(where)
+    a, b = prior(hosts), prior(paths)
+    for i, (h, q) in enumerate(where):
+        host_rate = (hosts[h][1] - p[i] + a * overall) / (hosts[h][0] - 1 + a)
+        rate = (paths[(h, q)][1] - p[i] + b * host_rate) / (paths[(h, q)][0] - 1 + b)
+        assert got["site_quality"][i] == pytest.approx(rate)
+        logit = np.log(p[i] / (1 - p[i])) + np.log(rate / (1 - rate)) - np.log(overall / (1 - overall))
+        assert got["quality"][i] == pytest.approx(1 / (1 + np.exp(-logit)))
+        assert got["keep"][i] == (got["quality"][i] >= 0.5)
+    assert quality.score_quality(docs.limit(0), model, host, path).count() == 0
+
+
+def test_sample_is_bounded_and_labels_settle(spark, table):
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, None), (None, 1), (3, 0)], "doc_id long, toxic int")
+    got = linear.labelled_sample(table.select("doc_id", "text"), labels, F.col("toxic")).select("doc_id", "label").collect()
+    assert sorted(map(tuple, got)) == [(1, 1), (3, 0)]
+    assert linear.labelled_sample(table.select("doc_id"), table.select("doc_id", "toxic"), F.col("toxic"), rows=50).count() == 50
