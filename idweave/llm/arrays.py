@@ -84,14 +84,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def chunks(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Slices of a batch with about ``CHUNK`` bytes of text, with their bytes and row offsets."""
+def chunks(batch: pa.RecordBatch, text: str, size: int = CHUNK) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of a batch with about ``size`` bytes of text, with their bytes and row offsets."""
     raw, offsets = text_bytes(batch.column(batch.schema.get_field_index(text)))
     at, n = 0, batch.num_rows
     while at < n:
-        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, side="right")) - 1)
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1)
         yield batch.slice(at, end - at), raw[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
         at = end
+    # Workers live on between tasks and would keep what they no longer need.
+    pa.default_memory_pool().release_unused()
 
 
 class Words:

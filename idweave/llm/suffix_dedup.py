@@ -42,8 +42,10 @@ WINDOW = 400
 #: Bytes whose hash makes an anchor.
 GRAM = 32
 #: Bytes of suffixes that a task sorts at once, and those of a range of the order.
-RUN_BYTES = 48 << 20
+RUN_BYTES = 16 << 20
 RANGE_BYTES = 16 << 20
+#: Bytes of text whose windows a task holds at once (a window takes over a hundred bytes).
+PIECE = 1 << 17
 #: Suffixes that are looked at to choose the ranges, and the bytes of a limit between two of them.
 SAMPLE = 20_000
 LIMIT_BYTES = 64
@@ -65,7 +67,7 @@ def _runs(window: int):
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, raw, offsets in chunks(batch, "text"):
+            for part, raw, offsets in chunks(batch, "text", PIECE):
                 size = np.diff(offsets)
                 if not len(size) or size.max() < window:
                     continue
@@ -307,7 +309,7 @@ def _combined(window: int):
 def _open_windows(window: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, raw, offsets in chunks(batch, "text"):
+            for part, raw, offsets in chunks(batch, "text", PIECE):
                 hashes = Ranges(raw)
                 own = part.column("open")
                 number = np.diff(own.offsets.to_numpy())
