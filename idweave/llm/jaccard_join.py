@@ -247,7 +247,7 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
 
     # Signatures of the sets that stand in such a tile, from one document each.
     wanted = work.store(shared.select("class").distinct().join(members, "class").select("class", "doc_id"), "wanted")
-    known = texts.where("doc_id is not null").where(rows.among(wanted, F.col("doc_id")))
+    known = rows.marked(texts.where("doc_id is not null"), wanted).where("_near").drop("_near")
     signed = known.join(wanted, "doc_id").mapInArrow(_signatures(join), "class long, size long, bits binary, grams binary")
     signed = work.store(signed, "signatures")
 

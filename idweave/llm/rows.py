@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -24,29 +22,26 @@ def numbered(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     return rows.withColumn("part", part).select("doc_id", "part", "text", *carry)
 
 
-def among(ids: DataFrame, id: Column) -> Column:
-    """A condition that holds for every id in the column ``doc_id`` of ``ids``, and for few others: a look-up in a
-    bitmap of fixed size, so that most texts need not be shuffled to meet what is joined to them."""
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << ID_BITS)) + 1  # positions count from 1
-    parts = ids.select(place.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket"))
-    rows = parts.agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect()
-    size = 4096
-    bits = np.zeros((1 << ID_BITS) // 8 + size, np.uint8)
-    for bucket, part in rows:
-        bits[(bucket - 1) * size :][:size] |= np.frombuffer(part, np.uint8)
+def marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` with ``_near``: true for every id in the column ``doc_id`` of ``ids``, and for few others.
 
-    @F.arrow_udf("boolean")
-    def known(at: pa.Array) -> pa.Array:
-        at = at.to_numpy(zero_copy_only=False).astype(np.int64)
-        return pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
-
-    return known(F.pmod(F.xxhash64(id.cast("long")), F.lit(1 << ID_BITS)))
+    A look-up in a bitmap of fixed size, so that most texts need not be shuffled to meet what is joined to
+    them. Its pieces (4 kB each, 2048 at most) are few enough to send to all executors."""
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << ID_BITS)) + 1  # positions count from 1
+    pieces = ids.select(place.alias("_at")).groupBy(F.bitmap_bucket_number("_at").alias("_bucket"))
+    pieces = pieces.agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("_bits"))
+    looked = rows.withColumn("_at", place).withColumn("_bucket", F.bitmap_bucket_number("_at"))
+    looked = looked.join(F.broadcast(pieces), "_bucket", "left")
+    bit = F.bitmap_bit_position("_at")
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(bitmap_bit_position(_at) div 8 + 1 as int), 1)")), 16, 10).cast("int")
+    near = F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+    return looked.select(*rows.columns, near.alias("_near"))
 
 
 def meet(rows: DataFrame, found: DataFrame) -> DataFrame:
     """``rows`` (of ``numbered``) beside the columns of ``found``, a stored table with at most one row for each
     ``doc_id, part``; null where there is none. Only rows that ``found`` may hold are shuffled."""
-    near = rows.withColumn("_near", F.coalesce(among(found, F.col("doc_id")), F.lit(False)))
+    near = marked(rows, found)
     rest = [c for c in found.columns if c not in ("doc_id", "part")]
     types = dict(found.dtypes)
     far = near.where("not _near").drop("_near").withColumns({c: F.lit(None).cast(types[c]) for c in rest})
