@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from idweave.operators.joins import spread
 from idweave.operators.uniqueness import COPIES, expand, stage_of, unique_on
 from idweave.runtime import Workspace
 from idweave.spec import Rule
@@ -32,7 +33,9 @@ def unmatched(pivot: DataFrame, matches: DataFrame) -> DataFrame:
 
 def without_people(registry: DataFrame, matches: DataFrame) -> DataFrame:
     """Distinct registry rows whose person was not matched."""
-    return registry.join(matches.select(PERSON).distinct(), PERSON, "left_anti").distinct()
+    matched = matches.select(PERSON).distinct().withColumn("_spread", spread(PERSON))
+    people = registry.distinct().withColumn("_spread", spread(PERSON))
+    return people.join(matched, [PERSON, "_spread"], "left_anti").select(*registry.columns)
 
 
 def cascade_stepwise(
@@ -86,11 +89,10 @@ def assign_rules(stages: Sequence[DataFrame], pivot: DataFrame, rules: Sequence[
     found many times on the registry side stays one row, so no pairs arise before the
     winning rule is known.
     """
-    found = registry_keys(stages, rules).distinct()
-    tried = _unfold_keys(pivot, list(enumerate(rules)), [ROW])
-    first = (
-        tried.join(found, ["rule_no", "rule_key"], "left_semi").groupBy(ROW).agg(F.min("rule_no").alias("rule_no"))
-    )
+    found = registry_keys(stages, rules).distinct().withColumn("_spread", spread("rule_key"))
+    tried = _unfold_keys(pivot, list(enumerate(rules)), [ROW]).withColumn("_spread", spread("rule_key"))
+    met = tried.join(found, ["rule_no", "rule_key", "_spread"], "left_semi")
+    first = met.groupBy(ROW).agg(F.min("rule_no").alias("rule_no"))
     return pivot.join(first, ROW, "left")
 
 

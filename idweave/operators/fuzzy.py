@@ -16,6 +16,7 @@ Dates within some days are found by an equi-join on buckets of that many days.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import groupby
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -139,7 +140,7 @@ def fuzzy_match(
     """
     (sex, date), days = rules[0].block, max(r.days for r in rules)
     if any(r.block != (sex, date) for r in rules):
-        raise ValueError("fuzzy rules searched together must share their block columns")
+        raise ValueError("fuzzy rules searched together must share their block columns; see searches")
     pairs = fuzzy_pairs(registry, pivot, sex, date, days, parts, threshold, ranking)
 
     admits = [f"when {'_days = 0' if r.days == 0 else f'_days < {r.days}'} then {i}" for i, r in enumerate(rules)]
@@ -160,6 +161,11 @@ def fuzzy_match(
     )
 
 
+def searches(rules: Sequence[FuzzyRule]) -> list[list[FuzzyRule]]:
+    """Rules in their order, those next to each other with the same block columns together."""
+    return [list(same) for _, same in groupby(rules, key=lambda r: r.block)]
+
+
 def fuzzy_block(
     registry: DataFrame, pivot: DataFrame, rule: FuzzyRule, parts: bool, threshold: float = THRESHOLD
 ) -> DataFrame:

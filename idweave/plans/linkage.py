@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from idweave.functions.normalize import FAMILY, FULL, GIVEN, with_dates, with_full_name, with_initials
 from idweave.functions.similarity import has_parts
 from idweave.operators.cascade import LABEL, PERSON, ROW, cascade, unmatched, without_people
-from idweave.operators.fuzzy import fuzzy_match, used_once
+from idweave.operators.fuzzy import fuzzy_match, searches, used_once
 from idweave.operators.residual import not_found, residual_join, residual_matches, score_residual
 from idweave.operators.rowid import with_row_id
 from idweave.operators.uniqueness import COPIES, compact, expand, shrink_stages
@@ -113,14 +113,14 @@ def link(registry: DataFrame, pivot: DataFrame, spec: LinkageSpec) -> LinkageRes
 
     # Fuzzy search among the rest.
     matched = deterministic
-    if fuzzy_rules and "p_fecha_nac" in rows.columns:
-        close = work.store(fuzzy_match(left, rest, fuzzy_rules, parts, spec.threshold), "fuzzy")
+    for i, group in enumerate(searches(fuzzy_rules)):
+        close = work.store(fuzzy_match(left, rest, group, parts, spec.threshold), f"fuzzy{i}")
         copies = names if spec.drop_matched else expand(registry_names(source, COPIES))
         named = attach_names(close.drop(SCORE), copies)
-        matched = deterministic.unionByName(named.select(*deterministic.columns))
+        matched = matched.unionByName(named.select(*deterministic.columns))
         rest = unmatched(rest, close)
         if spec.drop_matched:
-            ranged = close.where(F.col(LABEL).isin([r.label for r in fuzzy_rules if r.days > 0]))
+            ranged = close.where(F.col(LABEL).isin([r.label for r in group if r.days > 0]))
             left = left.join(used_once(ranged).select(PERSON), PERSON, "left_anti")
 
     unresolved = work.store(score_residual(residual_join(rest, names), parts), "unresolved")

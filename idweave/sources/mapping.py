@@ -43,22 +43,19 @@ class MappedColumn:
     missing: bool = False
 
 
-# A table has a handful of mapped columns; more means the mapping table is not one.
-MAX_MAPPED = 10_000
-
-
-def load_mapping(mapping: DataFrame, table: str) -> list[MappedColumn]:
-    """Mapping rows of one table, as a small list."""
+def load_mapping(mapping: DataFrame, table: str, most: int = 10_000) -> list[MappedColumn]:
+    """Mapping rows of one table, as a small list. A table has a handful of mapped columns; more than ``most`` mean that
+    the mapping table is not one, and raise an error."""
     rows = (
         mapping.where(F.col("tabla_entrada") == table)
         .select("variables_tabla", "concepto")
-        .limit(MAX_MAPPED + 1)
+        .limit(most + 1)
         .collect()
     )
     if not rows:
         raise JobError(f"no mapping rows for table {table!r}")
-    if len(rows) > MAX_MAPPED:
-        raise JobError(f"more than {MAX_MAPPED} mapping rows for table {table!r}")
+    if len(rows) > most:
+        raise JobError(f"more than {most} mapping rows for table {table!r}")
     return [MappedColumn(r.variables_tabla, r.concepto) for r in rows]
 
 

@@ -4,6 +4,7 @@ from conftest import rows
 from idweave import LinkageSpec, link
 from idweave.plans.run import link_table, updated_source
 from idweave.sources.mapping import MappedColumn
+from idweave.spec import FUZZY_RULES, FuzzyRule
 
 REG = (
     "p_cedula string, p_nombres string, p_apellidos string, p_nombres_apellidos string, p_sexo string, "
@@ -139,3 +140,20 @@ def test_from_source_to_update(spark):
     assert updated["shrunk_away"].estado_identidad == "recuperado" and updated["shrunk_away"].nom == "ROSA"
     assert updated["residual"].estado_identidad == "residuales"
     assert updated["empty"].estado_identidad == "no encontrado" and updated["empty"].ced is None
+
+
+def test_fuzzy_rules_with_unlike_blocks(spark):
+    """Each group of rules searches its own block columns, in the order of the rules."""
+    columns = "p_cedula string, p_nombres string, p_apellidos string, p_nombres_apellidos string, p_sexo string, p_fecha_nac string, p_fecha_de_fatte string"
+    people = [("01", "LUIS ANDRES", "MORA LEON", "MORA LEON LUIS ANDRES", "1", "1991-02-03", "2001-01-01", "a")]
+    table = [
+        (None, "LUIS ANDRES", "MORA LEOM", "MORA LEOM LUIS ANDRES", "1", "1991-02-03", None, "birth"),
+        (None, "LUIS ANDRES", "MORA LEOM", "MORA LEOM LUIS ANDRES", "1", None, "2001-01-01", "event"),
+        (None, "LUIS ANDRES", "MORA LEOM", "MORA LEOM LUIS ANDRES", "1", None, None, "neither"),
+    ]
+    registry = spark.createDataFrame(people, columns + ", id_hash_rp string")
+    pivot = spark.createDataFrame(table, columns + ", id_hash string")
+    event = FuzzyRule("by_event", date="p_fecha_de_fatte")
+    for rules, expected in (((*FUZZY_RULES, event), {"birth": FUZZY_RULES[0].label, "event": "by_event"}), ((event,), {"event": "by_event"})):
+        result = link(registry, pivot, LinkageSpec(columns=(*COLUMNS, "p_fecha_de_fatte"), fuzzy_rules=rules))
+        assert {r.id_hash: r.id_etiqueta for r in result.matched.collect()} == expected

@@ -5,9 +5,10 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
-from idweave.operators.cascade import _unfold_keys, matched_pairs
+from idweave.operators.cascade import _unfold_keys, assign_rules, matched_pairs, without_people
 from idweave.operators.fuzzy import fuzzy_match
 from idweave.operators.joins import left_lookup
 from idweave.operators.uniqueness import compact, shrink_stages, unique_on
@@ -86,16 +87,33 @@ def test_hot_key_is_split(spark, conf):
         frame = left_lookup(pivot.selectExpr("p_idp", "a as k", "pad"), people, "k", ["p_idp"])
         assert len(frame.collect()) == n
         assert "skew=true" in plan(frame)
+        # Sides that are folded by the join key must not keep the other side whole.
+        assigned = assign_rules(stages, pivot.drop("rule_no"), rule)
+        assert len(assigned.where("rule_no = 0").collect()) == n // 3 + sum(1 for i in range(1, n) if i % 3)
+        assigned = assign_rules(stages, pivot.drop("rule_no"), rule)
+        assigned.collect()
+        assert "skew=true" in plan(assigned)
+        folded = people.groupBy("k").agg(F.min("p_idr").alias("p_idr"))
+        frame = left_lookup(pivot.selectExpr("p_idp", "a as k", "pad"), folded, "k", ["p_idp"])
+        assert len(frame.collect()) == n
+        assert "skew=true" in plan(frame)
+        registry = pivot.selectExpr("a as p_idr", "p_idp as x", "pad")
+        left = without_people(registry, pivot.where("a <> 'hot'").selectExpr("a as p_idr"))
+        assert len(left.collect()) == n // 3
+        assert "skew=true" in plan(left)
 
 
-def test_null_keys_are_spread(spark):
+def test_null_keys_are_spread(spark, conf):
     left = spark.range(1000).selectExpr("concat('p', id) p_idp", "if(id < 10, cast(id as string), null) k")
     right = spark.range(20).selectExpr("cast(id as string) k", "id v").unionByName(
         spark.sql("select cast(null as string) k, 99L v")
     )
-    joined = left_lookup(left, right, "k", ["p_idp"])
-    assert joined.count() == 1000 and joined.where("v is not null").count() == 10
-    assert "_spread" in plan(joined)
+    options = {"spark__sql__adaptive__enabled": "false", "spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__shuffle__partitions": "8"}
+    with conf(**options):
+        joined = left_lookup(left, right, "k", ["p_idp"])
+        assert joined.count() == 1000 and joined.where("v is not null").count() == 10
+        tasks = joined.where("k is null").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == 8 and max(r["count"] for r in tasks) < 200
 
 
 def test_hot_groups_fold_before_the_shuffle(spark):

@@ -114,9 +114,9 @@ def test_sinks(spark, tmp_path):
 
 def test_run_log(spark, tmp_path):
     sink = Sink("parquet", str(tmp_path))
-    log_event(spark, sink, "t1", "inicio", dt.datetime(2024, 1, 2, 3, 4, 5))
-    log_event(spark, sink, "t1", "guardado", dt.datetime(2024, 1, 2, 4, 0, 0))
-    log = spark.read.parquet(f"{tmp_path}/log_ratore")
+    log_event(spark, sink, "t1", "inicio", dt.datetime(2024, 1, 2, 3, 4, 5), "runs")
+    log_event(spark, sink, "t1", "guardado", dt.datetime(2024, 1, 2, 4, 0, 0), "runs")
+    log = spark.read.parquet(f"{tmp_path}/runs")
     assert log.columns == (
         "tabla script proceso fecha nobs error id_table id_proceso codigo_ejecucion id_ejecucion".split()
     )
