@@ -3,7 +3,8 @@
 Method: size-banded tiles with bitmap signatures. Documents are grouped by their set of word n-grams into classes of
 equal sets, and classes by size into bands, such that two sets that may link are in one band or in bands
 next to each other. Within a band the n-grams are dealt by hash into more parts than linked sets can differ in n-grams, so
-linked sets agree in a part: a tile is all sets of a band that agree in one part. In each tile the set bits of hashed
+linked sets agree in a part: a tile is all sets of a band that agree in one part. Empty parts make no tile where a set fills
+more parts than it can differ in, as it then agrees with what it links to in a part that is not empty. In each tile the set bits of hashed
 bitmaps bound the overlap of two sets from above; what passes is decided by intersecting their sorted arrays.
 
 Only the components of links are wanted, so a tile is no source of all pairs. First each set is held against the first and the
@@ -19,6 +20,7 @@ rows. An empty table gives an empty result; further columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -59,8 +61,13 @@ class Join:
         return np.array(out)
 
     def parts(self, largest: int) -> int:
-        """More than two linked sets of at most this size can differ in."""
-        return 2 * largest * (100 - self.percent) // (100 + self.percent) + 1
+        """More than two linked sets of at most this size can differ in, and as many again as are likely to stay empty."""
+        most = self.differ(2 * largest)
+        return most + 1 + (math.ceil(4 * most * math.exp(-largest / most)) if most else 0)
+
+    def differ(self, both: int) -> int:
+        """The most n-grams that two linked sets, with so many together, can differ in."""
+        return both * (100 - self.percent) // (100 + self.percent)
 
     def linked(self, overlap: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return 100 * overlap >= self.percent * (a + b - overlap)
@@ -113,12 +120,17 @@ def _tiles(join: Join):
                     seen.add(mark)
                     band = int(np.searchsorted(bands, len(own), side="right")) - 1
                     for b in (band, band + 1):
-                        n = join.parts(int(bands[b + 1]) - 1)
+                        largest = int(bands[b + 1]) - 1
+                        n = join.parts(largest)
                         part = (own % np.uint64(n)).astype(np.int64)
                         sums = np.zeros(n, np.uint64)
                         np.add.at(sums, part, mix(own, 13))
-                        keys.append(mix(mix(sums ^ np.uint64(b), 14) + np.arange(n, dtype=np.uint64)))
-                        classes.append(np.full(n, mark))
+                        tiles = mix(mix(sums ^ np.uint64(b), 14) + np.arange(n, dtype=np.uint64))
+                        held = np.unique(part)
+                        if len(held) > join.differ(len(own) + min(largest, len(own) * 100 // join.percent)):
+                            tiles = tiles[held]
+                        keys.append(tiles)
+                        classes.append(np.full(len(tiles), mark))
                 if keys:
                     yield pa.RecordBatch.from_pydict({"tile": np.concatenate(keys).view(np.int64), "class": np.concatenate(classes)})
 
