@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from idweave.llm import (
     chat_format,
     decontamination,
+    forest,
     jaccard_join,
     linear,
+    merkle,
     mixing,
     quality,
     substring_dedup,
@@ -21,6 +23,7 @@ from idweave.llm import (
     token_count,
     topk_search,
     toxicity,
+    variants,
 )
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -146,6 +149,37 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.with_token_counts(docs, vocabulary).select("doc_id", "token_count.n_tokens", "token_count.score")
 
 
+#: What a leaf of the manifest is the hash of, in this order.
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    lowered = [F.translate("text", variants.UPPER, variants.LOWER) if c == "text" else F.col(c) for c in MANIFEST_FIELDS]
+    rows = merkle.manifest(docs, MANIFEST_FIELDS, "lang", "doc_id", also={"tampered": F.when(changed, merkle.leaf_hash(lowered))})
+    root = merkle.folded(F.coalesce("tampered", "leaf"), F.col("places"), F.col("siblings"))
+    rows = rows.select(F.col("order").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("siblings")).alias("proof_sha256"), root.alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def planted_typos(words: DataFrame) -> DataFrame:
+    """``words`` (``id, word``), with one character deleted from one in 199 (id, word)."""
+    h = F.crc32(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("word")))
+    at = (h % F.length("word")).cast("int")
+    cut = F.concat(F.substring("word", F.lit(1), at), F.substring("word", at + 2, F.length("word")))
+    return words.select(F.when(h % 199 == 0, cut).otherwise(F.col("word")).alias("word"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = planted_typos(variants.words(table(spark, sf_dir, "documents"), least=6)).where(F.length("word") >= 6)
+    return variants.spelling_groups(variants.counted(found, least=5), ratio=5)
+
+
+def op13_forest_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -158,6 +192,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_token_count": op10_token_count,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_forest_search": op13_forest_search,
     }
 
 
