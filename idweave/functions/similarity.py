@@ -126,6 +126,19 @@ def prefix_size(side: str, cosine: float) -> str:
     )
 
 
+def largest_count(repeats: str) -> str:
+    """How often the most frequent gram of a name occurs."""
+    most = f"aggregate({repeats}, 0, (n, g) -> greatest(n, {_occurrences(repeats, 'g')}))"
+    return f"(1 + if(size({repeats}) > 0, {most}, 0))"
+
+
+def squares_from(side: str, at: str) -> str:
+    """Sum of squared gram counts of a name from its distinct gram number ``at`` (from 0) on."""
+    count = f"(1 + {_occurrences(f'{side}_x', 'g')})"
+    before = f"aggregate(slice({side}_u, 1, {at}), 0, (n, g) -> n + {count} * {count})"
+    return f"({side}_n2 - if(size({side}_x) > 0, {before}, {at}))"
+
+
 def with_grams(df: DataFrame, names: Mapping[str, str], ranking: Sequence[int] = ()) -> DataFrame:
     """For each ``prefix: name`` (SQL text) add ``<prefix>_u`` (distinct codes), ``_x``
     (repeats) and ``_n2`` (squared norm)."""

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from idweave.operators.joins import spread
-from idweave.operators.uniqueness import COPIES, expand, stage_of, unique_on
+from idweave.operators.keyfilter import KEY_BITS, key_bitmap, maybe_among
+from idweave.operators.uniqueness import COPIES, LAST, expand, stage_of, unique_on
 from idweave.runtime import Workspace
 from idweave.spec import Rule
 
@@ -60,68 +61,74 @@ def cascade_stepwise(
     return reduce(DataFrame.unionByName, parts), pivot, registry
 
 
-def _key(columns: Sequence[str]) -> str:
+def key_text(columns: Sequence[str]) -> str:
     """One text per key value: one-to-one, null when any part is null."""
     parts = [f"length(cast({c} as string)), ':', cast({c} as string)" for c in columns]
     return f"concat({', '.join(parts)})"
 
 
-def _unfold_keys(df: DataFrame, rules: Sequence[tuple[int, Rule]], keep: Sequence[str]) -> DataFrame:
-    """One row per rule the row can take part in: kept columns, rule number, key text."""
-    entries = [f"named_struct('rule_no', {i}, 'rule_key', {_key(rule.keys)})" for i, rule in rules]
+def _unfold_keys(df: DataFrame, rules: Sequence[Rule], keep: Sequence[str], allowed: Sequence[str] = ()) -> DataFrame:
+    """One row per rule the row can take part in: kept columns, rule number, key text.
+
+    ``allowed`` gives for each rule a condition on the row, or an empty text."""
+    keys = [key_text(rule.keys) for rule in rules]
+    keys = [f"if({ok}, {key}, null)" if ok else key for key, ok in zip(keys, allowed or [""] * len(keys), strict=True)]
+    entries = [f"named_struct('rule_no', {i}, 'rule_key', {key})" for i, key in enumerate(keys)]
     unfolded = df.selectExpr(*keep, f"inline(array({', '.join(entries)}))")
     return unfolded.where("rule_key is not null")
 
 
-def registry_keys(stages: Sequence[DataFrame], rules: Sequence[Rule], keep: Sequence[str] = ()) -> DataFrame:
-    """Registry rows unfolded by rule; each rule reads the stage it is entitled to."""
-    by_stage: dict[int, list[tuple[int, Rule]]] = {}
-    for i, (rule, stage) in enumerate(zip(rules, stage_of(rules), strict=True)):
-        by_stage.setdefault(stage, []).append((i, rule))
-    parts = [_unfold_keys(stages[stage], numbered, keep) for stage, numbered in by_stage.items()]
-    return reduce(DataFrame.unionByName, parts)
+def registry_keys(registry: DataFrame, rules: Sequence[Rule], keep: Sequence[str] = ()) -> DataFrame:
+    """Rows of a staged registry unfolded by rule, in one scan; a rule gets the rows that survive its checks."""
+    allowed = [f"{LAST} >= {stage}" if stage else "" for stage in stage_of(rules)]
+    return _unfold_keys(registry, rules, keep, allowed)
 
 
-def assign_rules(stages: Sequence[DataFrame], pivot: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def assign_rules(
+    registry: DataFrame, pivot: DataFrame, rules: Sequence[Rule], bits: int = KEY_BITS
+) -> DataFrame:
     """Pivot with the number of the first rule that finds anyone (null: none) and its key.
 
-    All rules are tried in one semi join on (rule, key). Only ids and keys travel, and a key
-    found many times on the registry side stays one row, so no pairs arise before the
-    winning rule is known.
+    All rules are tried in one semi join on (rule, key). Only ids and keys travel, keys that the registry
+    cannot have stay where they are (``keyfilter``), and a key found many times on the registry side stays
+    one row, so no pairs arise before the winning rule is known.
     """
-    found = registry_keys(stages, rules).distinct().withColumn("_spread", spread("rule_key"))
-    tried = _unfold_keys(pivot, list(enumerate(rules)), [ROW]).withColumn("_spread", spread("rule_key"))
-    met = tried.join(found, ["rule_no", "rule_key", "_spread"], "left_semi")
+    key = ["rule_no", "rule_key"]
+    found = registry_keys(registry, rules)
+    tried = maybe_among(_unfold_keys(pivot, rules, [ROW]), key, key_bitmap(found, key, bits), bits)
+    found = found.distinct().withColumn("_spread", spread("rule_key"))
+    met = tried.withColumn("_spread", spread("rule_key")).join(found, [*key, "_spread"], "left_semi")
     first = met.groupBy(ROW).agg(F.min("rule_no").alias("rule_no"))
     return pivot.join(first, ROW, "left")
 
 
 def matched_pairs(
-    stages: Sequence[DataFrame], assigned: DataFrame, rules: Sequence[Rule], copies: bool = True
+    registry: DataFrame, assigned: DataFrame, rules: Sequence[Rule], copies: bool = True
 ) -> DataFrame:
     """All people found by the winning rule of each assigned pivot row.
 
     ``copies`` = False gives each (row, person) pair once, for callers that want distinct
     matches: the registry side is made distinct before the join, not the wide pairs after it.
+    Otherwise folded registry rows are unfolded there too, so that the join runs once.
     """
-    keys = " ".join(f"when {i} then {_key(r.keys)}" for i, r in enumerate(rules))
+    keys = " ".join(f"when {i} then {key_text(r.keys)}" for i, r in enumerate(rules))
     labels = ", ".join(f"'{r.label}'" for r in rules)
     columns = [c for c in assigned.columns if c not in (PERSON, "rule_no")]
     won = assigned.where("rule_no is not null").selectExpr("*", f"case rule_no {keys} end as rule_key")
-    people = registry_keys(stages, rules, [PERSON, COPIES] if copies else [PERSON])
-    if not copies:
-        people = people.distinct()
+    if copies:
+        people = expand(registry_keys(registry, rules, [PERSON, COPIES]))
+    else:
+        people = registry_keys(registry, rules, [PERSON]).distinct()
     pairs = won.join(people, ["rule_no", "rule_key"], "inner")
-    shown = [PERSON, *columns, f"element_at(array({labels}), rule_no + 1) as {LABEL}"]
-    return expand(pairs.selectExpr(*shown, COPIES)) if copies else pairs.selectExpr(*shown)
+    return pairs.selectExpr(PERSON, *columns, f"element_at(array({labels}), rule_no + 1) as {LABEL}")
 
 
 def cascade(
-    stages: Sequence[DataFrame], pivot: DataFrame, rules: Sequence[Rule], work: Workspace, copies: bool = True
+    registry: DataFrame, pivot: DataFrame, rules: Sequence[Rule], work: Workspace, copies: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """Single-pass cascade: (matches, rest of the pivot).
 
-    ``stages`` comes from ``shrink_stages``: all registry states are known beforehand, so all
+    ``registry`` comes from ``staged_registry``: what each rule may see of it is known beforehand, so all
     rules can be tried at once.
     """
     if not rules:
@@ -129,6 +136,6 @@ def cascade(
         columns = [c for c in pivot.columns if c != PERSON]
         nothing = F.lit(None).cast("string")
         return empty.select(nothing.alias(PERSON), *columns, nothing.alias(LABEL)), pivot
-    assigned = work.store(assign_rules(stages, pivot, rules), "assigned")
+    assigned = work.store(assign_rules(registry, pivot, rules), "assigned")
     rest = assigned.where("rule_no is null").drop("rule_no")
-    return matched_pairs(stages, assigned, rules, copies), rest
+    return matched_pairs(registry, assigned, rules, copies), rest

@@ -1,14 +1,16 @@
-"""Name matching inside a block of sex and birth date, exact or within some days.
+"""Name matching inside a block of equal columns and a date, the same or within some days.
 
 All pairs of a block would be quadratic in the block, and default birth dates make blocks
-huge. Three exact reductions keep the work near the size of the answer:
+huge. Candidates come first and only they are compared; every reduction is exact:
 
 * rows that agree on block and names are one *profile* on either side, so copies are
-  compared once;
+  compared once. Profiles are numbered and stored with their grams, each prepared once;
 * an accepted pair must have close full names, so it shares one of the rarest grams of both
-  (``similarity.prefix_size``): the equi-join key is block + gram, not block;
-* a pair with several such grams is kept only under the first of them, so nothing needs a
-  distinct afterwards.
+  (``similarity.prefix_size``): the equi-join key is block + gram, not block. What is joined is
+  the profile's number and a few figures, never a name;
+* two names that share a gram are candidates only if their lengths, and what is left of both from that
+  gram on, allow the cosine;
+* distinct candidates, as pairs of numbers, meet their grams again, and those that stay their names.
 
 Dates within some days are found by an equi-join on buckets of that many days.
 """
@@ -20,29 +22,35 @@ from itertools import groupby
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from idweave.functions.normalize import FAMILY, FULL, GIVEN
 from idweave.functions.similarity import (
-    REGISTRY_NAMES,
     SLOTS,
-    dot,
+    combined_score,
+    distance,
     gram_codes,
     gram_slot,
+    largest_count,
+    name_weights,
     points,
     prefix_size,
+    squares_from,
+    with_distance,
     with_grams,
-    with_name_score,
 )
-from idweave.operators.cascade import LABEL, PERSON
+from idweave.operators.cascade import LABEL, PERSON, key_text
+from idweave.operators.uniqueness import unique_on
 from idweave.operators.validate import SCORE
+from idweave.runtime import Workspace
 from idweave.spec import THRESHOLD, FuzzyRule
 
-def gram_ranking(registry: DataFrame) -> list[int]:
+
+def gram_ranking(registry: DataFrame, full: str) -> list[int]:
     """Place of each gram slot by how often the registry's full names use it, rare first.
 
     One small aggregate; there are ``SLOTS`` slots whatever the table holds.
     """
-    codes = registry.selectExpr(f"{points(FULL)} as points").selectExpr(f"explode({gram_codes('points')}) as code")
+    codes = registry.selectExpr(f"{points(full)} as points").selectExpr(f"explode({gram_codes('points')}) as code")
     counts = codes.groupBy(F.expr(f"{gram_slot('code')} as slot")).count().collect()
     uses = {row.slot: row["count"] for row in counts}
     places = [0] * SLOTS
@@ -51,76 +59,67 @@ def gram_ranking(registry: DataFrame) -> list[int]:
     return places
 
 
-def _unfold(df: DataFrame, side: str, name: str, cosine: float, ranking: Sequence[int]) -> DataFrame:
-    """One row per gram of the prefix of ``name``, with what ``dot`` needs.
+def _profiles(df: DataFrame, side: str, rule: FuzzyRule, ranking: Sequence[int], more: Sequence[str] = ()) -> DataFrame:
+    """Numbered profiles: block key, day, names, grams of the full name, and the columns ``more``."""
+    day = f"unix_date({rule.date})" if rule.date else "0"
+    names = [f"{c} as {side}_{n}" for c, n in zip(rule.names, ("given", "family", "full"), strict=True) if c in df.columns]
+    keyed = df.selectExpr(f"{key_text(rule.equal)} as block", f"{day} as {side}_day", *names, *more)
+    numbered = with_grams(keyed, {side: f"{side}_full"}, ranking)
+    return numbered.withColumn(f"{side}_no", F.monotonically_increasing_id())
+
+
+def _entries(profiles: DataFrame, side: str, cosine: float) -> DataFrame:
+    """One narrow row per gram of the prefix of the full name."""
+    figures = [f"{side}_no", "block", f"{side}_day", f"{side}_n2"]
+    sizes = [f"size({side}_u) + size({side}_x) as {side}_length", f"{largest_count(f'{side}_x')} as {side}_peak"]
+    prefix = f"posexplode(slice({side}_u, 1, {prefix_size(side, cosine)})) as (_at, _gram)"
+    return profiles.selectExpr(*figures, *sizes, f"{side}_u", f"{side}_x", prefix).selectExpr(
+        *figures, f"{side}_length", f"{side}_peak", "_gram", f"{squares_from(side, '_at')} as {side}_tail"
+    )
 
-    A prefix is never empty here. The outer form of explode only keeps the optimizer from
-    testing that by repeating the whole gram computation in filters.
+
+def candidates(people: DataFrame, rows: DataFrame, days: int, cosine: float) -> DataFrame:
+    """Distinct ``p_no, r_no`` of all profiles whose full names may reach ``cosine``, on narrow rows.
+
+    Of the grams a pair shares in both prefixes, the first has everything shared behind it: by
+    Cauchy-Schwarz the squares from there on bound the dot product. A pair that passes at a later gram only is one
+    candidate too many, never one too few. The number of grams of one name times the largest count of the other is a
+    bound as well.
     """
-    keep = df.columns
-    df = with_grams(df, {side: name}, ranking)
-    features = [f"{side}_u", f"{side}_x", f"{side}_n2"]
-    df = df.selectExpr(*keep, *features, f"{prefix_size(side, cosine)} as _size")
-    return df.selectExpr(*keep, *features, f"explode_outer(slice({side}_u, 1, _size)) as _gram")
+    people, rows = _entries(people, "r", cosine), _entries(rows, "p", cosine)
+    on, near = ["block", "_gram"], "true"
+    if days > 0:
+        low, high = (f"floor((p_day {sign} {days - 1}) / {days})" for sign in "-+")
+        people = people.selectExpr("*", f"floor(r_day / {days}) as _bucket")
+        rows = rows.selectExpr("*", f"explode(sequence({low}, {high})) as _bucket")
+        on, near = [*on, "_bucket"], f"abs(r_day - p_day) < {days}"
+    else:
+        people, rows = people.withColumnRenamed("r_day", "_day"), rows.withColumnRenamed("p_day", "_day")
+        on = [*on, "_day"]
+    reach = f"{cosine * cosine!r}D * p_n2 * r_n2"
+    enough = f"cast(p_tail as double) * r_tail >= {reach}"
+    lengths = "cast(least(p_length * r_peak, r_length * p_peak) as double)"
+    met = rows.join(people, on).where(f"{near} and {enough} and {lengths} * {lengths} >= {reach}")
+    return met.select("p_no", "r_no").distinct()
 
 
 def fuzzy_pairs(
-    registry: DataFrame,
-    pivot: DataFrame,
-    sex: str,
-    date: str,
-    days: int,
-    parts: bool,
-    threshold: float = THRESHOLD,
-    ranking: Sequence[int] | None = None,
+    people: DataFrame, rows: DataFrame, days: int, parts: bool, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """Pairs of profiles with close full names: pivot profile columns, person, day difference,
-    score. Every pair whose score is below ``threshold`` is among them.
-
-    Of the people that share a profile the lowest id stands for all, which is also how ties
-    are broken.
-    """
-    names = [GIVEN, FAMILY, FULL] if parts else [FULL]
-    profile = [sex, date, *names]
-    if ranking is None:
-        ranking = gram_ranking(registry)
+    """``p_no``, person, ``_days`` apart, score of all pairs of profiles with close full names. Every pair whose
+    score is below ``threshold`` is among them."""
     # An accepted distance is below the threshold, so the cosine is above one minus it; the
     # margin covers rounding to 32 bits.
-    cosine = 1 - threshold - 1e-6
-    usable = f"{sex} is not null and {date} is not null and length({FULL}) >= 2"
-
-    people = registry.where(usable).groupBy(*profile).agg(F.min(PERSON).alias(PERSON))
-    people = people.selectExpr(
-        sex, f"{date} as _date_reg", *[f"{c} as {REGISTRY_NAMES[c]}" for c in names], PERSON
-    )
-    rows = pivot.where(usable).select(*profile).distinct()
-
-    people = _unfold(people, "r", REGISTRY_NAMES[FULL], cosine, ranking)
-    rows = _unfold(rows, "p", FULL, cosine, ranking)
-
-    if days > 0:
-        low, high = (f"floor((unix_date({date}) {sign} {days - 1}) / {days})" for sign in "-+")
-        people = people.selectExpr("*", f"floor(unix_date(_date_reg) / {days}) as _bucket")
-        rows = rows.selectExpr("*", f"explode_outer(sequence({low}, {high})) as _bucket")
-        on, near = [sex, "_bucket", "_gram"], f"abs(datediff(_date_reg, {date})) < {days}"
-    else:
-        people = people.selectExpr("*", "_date_reg as _day")
-        rows = rows.selectExpr("*", f"{date} as _day")
-        on, near = [sex, "_day", "_gram"], "true"
-
-    first_shared = "get(array_intersect(p_u, r_u), 0) = _gram"
-    close_names = f"cast(1 - abs({dot('p', 'r')} / sqrt(p_n2) / sqrt(r_n2)) as float) < {threshold}D"
-    close = (
-        rows.join(people, on, "inner")
-        .where(near)
-        # Behind coalesce, or the optimizer infers that every gram array is not null and
-        # repeats its computation in filters far below.
-        .where(f"coalesce({first_shared} and {close_names}, false)")
-        .selectExpr(
-            *profile, *[REGISTRY_NAMES[c] for c in names], PERSON, f"abs(datediff(_date_reg, {date})) as _days"
-        )
-    )
-    return with_name_score(close, SCORE, parts).select(*profile, PERSON, "_days", SCORE)
+    pairs = candidates(people, rows, days, 1 - threshold - 1e-6)
+    met = pairs.join(rows.drop("block"), "p_no").join(people.drop("block"), "r_no")
+    names = [f"{side}_{n}" for side in "pr" for n in ("given", "family")] if parts else []
+    close = met.selectExpr("p_no", PERSON, "abs(r_day - p_day) as _days", *names, f"{distance('p', 'r')} as _d_full")
+    close = close.where(f"coalesce(_d_full < {threshold}D, false)")
+    if not parts:
+        return close.selectExpr("p_no", PERSON, "_days", f"_d_full as {SCORE}")
+    scored = with_distance(close, {"_d_given": ("p_given", "r_given"), "_d_family": ("p_family", "r_family")})
+    score = combined_score("_d_full", "_d_given", "_d_family", *name_weights("p_given", "r_given", "p_family", "r_family"))
+    return scored.selectExpr("p_no", PERSON, "_days", f"{score} as {SCORE}")
 
 
 def fuzzy_match(
@@ -130,58 +129,73 @@ def fuzzy_match(
     parts: bool,
     threshold: float = THRESHOLD,
     ranking: Sequence[int] | None = None,
+    work: Workspace | None = None,
+    name: str = "fuzzy",
 ) -> DataFrame:
     """Pivot rows matched by the first rule that accepts anyone: person, pivot columns,
     label, score.
 
-    Rules over the same block columns share one search with the widest tolerance: the first
+    Rules over the same block and name columns share one search with the widest tolerance: the first
     rule that admits a pair ranks above the score, so rows met by an earlier rule are never
-    left to a later one.
+    left to a later one. Of the people that share a profile the lowest id stands for all, which is
+    also how ties are broken. Profiles are stored as ``<name>_people`` and ``<name>_rows``.
     """
-    (sex, date), days = rules[0].block, max(r.days for r in rules)
-    if any(r.block != (sex, date) for r in rules):
-        raise ValueError("fuzzy rules searched together must share their block columns; see searches")
-    pairs = fuzzy_pairs(registry, pivot, sex, date, days, parts, threshold, ranking)
+    rule, days = rules[0], max(r.days for r in rules)
+    if any((r.block, r.names) != (rule.block, rule.names) for r in rules):
+        raise ValueError("fuzzy rules searched together must share their block and name columns; see searches")
+    work = work or Workspace(pivot.sparkSession)
+    given, family, full = rule.names
+    profile = [*rule.block, *([given, family] if parts else []), full]
+    usable = " and ".join([*[f"{c} is not null" for c in rule.block], f"length({full}) >= 2"])
+    if ranking is None:
+        ranking = gram_ranking(registry, full)
+
+    people = registry.where(usable).groupBy(*profile).agg(F.min(PERSON).alias(PERSON))
+    people = work.store(_profiles(people, "r", rule, ranking, [PERSON]), f"{name}_people")
+    kept = [f"{c} as _q{i}" for i, c in enumerate(profile)]
+    rows = work.store(_profiles(pivot.where(usable).select(*profile).distinct(), "p", rule, ranking, kept), f"{name}_rows")
+    asked = [f"_q{i}" for i in range(len(profile))]
+    pairs = fuzzy_pairs(people, rows.drop(*asked), days, parts, threshold)
 
     admits = [f"when {'_days = 0' if r.days == 0 else f'_days < {r.days}'} then {i}" for i, r in enumerate(rules)]
-    order = f"named_struct('rule', case {' '.join(admits)} end, 'score', {SCORE}, 'person', {PERSON})"
-    accepted = f"min(if({SCORE} < {threshold}D and case {' '.join(admits)} end is not null, {order}, null)) as _best"
-    profile = [c for c in pairs.columns if c not in (PERSON, "_days", SCORE)]
-    best = pairs.groupBy(*profile).agg(F.expr(accepted)).where("_best is not null")
-    best = best.selectExpr(*[f"{c} as _q_{c}" for c in profile], "_best")
+    # Accepted pairs rank first and are tested after the ranking, see validate.best_candidate.
+    ok = f"coalesce({SCORE} < {threshold}D and _rule is not null, false)"
+    first = Window.partitionBy("p_no").orderBy(F.expr(f"not {ok}"), "_rule", SCORE, PERSON)
+    ranked = pairs.selectExpr("p_no", f"case {' '.join(admits)} end as _rule", SCORE, PERSON)
+    best = ranked.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").where(ok)
+    best = best.selectExpr("p_no", "_rule", f"{SCORE} as _score", f"{PERSON} as _person").join(rows.select("p_no", *asked), "p_no").drop("p_no")
     # Block columns and the full name are never null here; the name parts may be.
-    same = " and ".join(f"{c} {'=' if c in (sex, date, FULL) else '<=>'} _q_{c}" for c in profile)
+    never_null = {*rule.block, full}
+    same = " and ".join(f"{c} {'=' if c in never_null else '<=>'} _q{i}" for i, c in enumerate(profile))
     columns = [c for c in pivot.columns if c != PERSON]
     labels = ", ".join(f"'{r.label}'" for r in rules)
     return pivot.select(*columns).join(best, F.expr(same), "inner").selectExpr(
-        f"_best.person as {PERSON}",
+        f"_person as {PERSON}",
         *columns,
-        f"element_at(array({labels}), _best.rule + 1) as {LABEL}",
-        f"_best.score as {SCORE}",
+        f"element_at(array({labels}), _rule + 1) as {LABEL}",
+        f"_score as {SCORE}",
     )
 
 
 def searches(rules: Sequence[FuzzyRule]) -> list[list[FuzzyRule]]:
-    """Rules in their order, those next to each other with the same block columns together."""
-    return [list(same) for _, same in groupby(rules, key=lambda r: r.block)]
+    """Rules in their order, those next to each other with the same block and name columns together."""
+    return [list(same) for _, same in groupby(rules, key=lambda r: (r.block, r.names))]
 
 
 def fuzzy_block(
     registry: DataFrame, pivot: DataFrame, rule: FuzzyRule, parts: bool, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """Best accepted match inside sex + same date."""
+    """Best accepted match inside the block, with the same date."""
     return fuzzy_match(registry, pivot, [rule], parts, threshold)
 
 
 def fuzzy_range(
     registry: DataFrame, pivot: DataFrame, rule: FuzzyRule, parts: bool, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """Best accepted match inside sex + date less than ``rule.days`` away."""
+    """Best accepted match inside the block, with a date less than ``rule.days`` away."""
     return fuzzy_match(registry, pivot, [rule], parts, threshold)
 
 
 def used_once(matches: DataFrame) -> DataFrame:
-    """Matches whose person occurs once. A group of one is its row (see ``unique_on``)."""
-    row = F.expr(f"any_value(struct({', '.join(matches.columns)})) as _row")
-    groups = matches.groupBy(PERSON).agg(F.expr("count(*) as _n"), row)
-    return groups.where("_n = 1").select("_row.*")
+    """Matches whose person occurs once."""
+    return unique_on(matches, [PERSON])

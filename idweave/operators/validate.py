@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from idweave.functions.normalize import FAMILY, FULL, GIVEN
 from idweave.functions.similarity import REGISTRY_NAMES, with_name_score
@@ -29,16 +30,16 @@ def attach_names(matches: DataFrame, names: DataFrame) -> DataFrame:
 def best_candidate(df: DataFrame, accept: str = "true", score: str = SCORE, by: str = ROW) -> DataFrame:
     """The accepted row with the lowest score of each ``by``; ties go to the lowest person id.
 
-    A grouped minimum, so candidates are thinned before the shuffle. ``accept`` is tested
-    inside the aggregate: as a filter, the optimizer would copy the whole score expression
-    below every projection that builds it.
+    Ranks are cut to the first one before the shuffle too, so a row with very many candidates sends one
+    per task. Accepted rows rank first and are tested after the ranking: a filter below it would make
+    the optimizer copy the whole score expression.
     """
     columns = df.columns
     rest = [c for c in columns if c not in (by, score, PERSON)]
     order = [score, PERSON, *[c for c in NAMES if c in rest], *[c for c in rest if c not in NAMES]]
-    lowest = f"min(if({accept}, struct({', '.join(order)}), null)) as _best"
-    best = df.groupBy(by).agg(F.expr(lowest)).where("_best is not null")
-    return best.selectExpr(*[c if c == by else f"_best.{c}" for c in columns])
+    first = Window.partitionBy(by).orderBy(F.expr(f"not coalesce({accept}, false)"), *order)
+    ranked = df.withColumn("_rank", F.row_number().over(first)).where("_rank = 1")
+    return ranked.where(accept).select(*columns)
 
 
 def validate(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

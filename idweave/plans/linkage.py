@@ -14,17 +14,18 @@ from idweave.operators.cascade import LABEL, PERSON, ROW, cascade, unmatched, wi
 from idweave.operators.fuzzy import fuzzy_match, searches, used_once
 from idweave.operators.residual import not_found, residual_join, residual_matches, score_residual
 from idweave.operators.rowid import with_row_id
-from idweave.operators.uniqueness import COPIES, compact, expand, shrink_stages
+from idweave.operators.uniqueness import COPIES, at_stage, compact, expand, staged_registry
 from idweave.operators.validate import (
     SCORE,
     attach_names,
-    recovered,
     registry_names,
     score_matches,
     validate,
 )
 from idweave.runtime import Workspace
-from idweave.spec import LinkageSpec, applicable, applicable_fuzzy, usable
+from idweave.spec import FuzzyRule, LinkageSpec, applicable, applicable_fuzzy, usable
+
+PAIR = "_pair"
 
 
 @dataclass(frozen=True)
@@ -69,10 +70,15 @@ def index_registry(registry: DataFrame, pivot_columns: list[str], spec: LinkageS
     """Registry columns the linkage uses, equal rows folded."""
     rules = applicable(spec.rules, pivot_columns)
     fuzzy = applicable_fuzzy(spec.fuzzy_rules, pivot_columns)
-    used = {GIVEN, FAMILY, FULL, *(k for r in rules for k in r.keys), *(k for f in fuzzy for k in f.block)}
+    used = {GIVEN, FAMILY, FULL, *(k for r in rules for k in r.keys), *(k for f in fuzzy for k in (*f.block, *f.names))}
     return compact(registry.select(PERSON, *[c for c in registry.columns if c in used]))
 
 
+def _named_parts(rule: FuzzyRule, columns: list[str]) -> bool:
+    """Whether the pivot has the rule's given names and surnames beside the full name."""
+    return has_parts(columns) if rule.names == (GIVEN, FAMILY, FULL) else set(rule.names) <= set(columns)
+
+
 def _whole_rows(registry: DataFrame, kept: DataFrame) -> DataFrame:
     """Distinct registry rows, with all their columns, whose linkage columns are in ``kept``."""
     renamed = kept.select(*[F.col(c).alias(f"_k_{c}") for c in kept.columns])
@@ -85,9 +91,17 @@ def link(registry: DataFrame, pivot: DataFrame, spec: LinkageSpec) -> LinkageRes
 
     ``registry`` and ``pivot`` carry concept names (see ``sources.mapping``). Tables that
     several later steps read are stored once in the shared folder of the session; the
-    outcomes are lazy frames over them.
+    outcomes are lazy frames over them. A step that fails takes its tables with it.
     """
     work = Workspace(pivot.sparkSession)
+    try:
+        return _link(registry, pivot, spec, work)
+    except Exception:
+        work.release()
+        raise
+
+
+def _link(registry: DataFrame, pivot: DataFrame, spec: LinkageSpec, work: Workspace) -> LinkageResult:
     full_registry = prepare_registry(registry, spec)
     rows = prepare_pivot(pivot, full_registry, spec)
     if not spec.row_key_unique:
@@ -97,16 +111,19 @@ def link(registry: DataFrame, pivot: DataFrame, spec: LinkageSpec) -> LinkageRes
     parts = has_parts(rows.columns)
 
     index = index_registry(full_registry, rows.columns, spec)
-    stages = shrink_stages(index, rules, work, spec.null_key_is_duplicate)
-    left = stages[-1]
-    source = left if spec.names_from == "shrunk" else stages[0]
+    staged = staged_registry(index, rules, work, spec.null_key_is_duplicate)
+    checks = sum(rule.unique for rule in rules)
+    left = at_stage(staged, checks)
+    source = at_stage(staged, checks if spec.names_from == "shrunk" else 0)
     names = registry_names(source).distinct()
 
-    # Exact cascade, each pair once.
-    found, rest = cascade(stages, rows, rules, work, copies=False)
-    scored = work.store(score_matches(attach_names(found, names), parts), "scored")
+    # Exact cascade, each pair once. Pairs are numbered as they are stored: what is not validated is
+    # then found by number, without comparing whole rows.
+    found, rest = cascade(staged, rows, rules, work, copies=False)
+    scored = score_matches(attach_names(found, names), parts).withColumn(PAIR, F.monotonically_increasing_id())
+    scored = work.store(scored, "scored")
     validated = work.store(validate(scored, spec.threshold), "validated")
-    deterministic = recovered(scored.drop(SCORE), validated)
+    deterministic = scored.join(validated.select(PAIR), PAIR, "left_anti").drop(SCORE, PAIR)
 
     if spec.drop_matched:
         left = work.store(without_people(left, scored), "registry_left")
@@ -114,7 +131,10 @@ def link(registry: DataFrame, pivot: DataFrame, spec: LinkageSpec) -> LinkageRes
     # Fuzzy search among the rest.
     matched = deterministic
     for i, group in enumerate(searches(fuzzy_rules)):
-        close = work.store(fuzzy_match(left, rest, group, parts, spec.threshold), f"fuzzy{i}")
+        both = _named_parts(group[0], rows.columns)
+        close = fuzzy_match(left, rest, group, both, spec.threshold, work=work, name=f"search{i}")
+        close = work.store(close, f"fuzzy{i}")
+        work.drop(f"search{i}_people", f"search{i}_rows")
         copies = names if spec.drop_matched else expand(registry_names(source, COPIES))
         named = attach_names(close.drop(SCORE), copies)
         matched = matched.unionByName(named.select(*deterministic.columns))
@@ -127,7 +147,7 @@ def link(registry: DataFrame, pivot: DataFrame, spec: LinkageSpec) -> LinkageRes
     return LinkageResult(
         matched=matched,
         not_found=not_found(unresolved, spec.threshold),
-        validated=validated,
+        validated=validated.drop(PAIR),
         residual=residual_matches(unresolved, spec.threshold),
         deterministic=deterministic,
         unresolved=unresolved,

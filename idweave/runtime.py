@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,15 +17,15 @@ RECOMMENDED_CONF = {
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir`` (or already set on the context)."""
+    """Folder named by ``spark.checkpoint.dir`` (or already set on the context); where neither is set, as in
+    a local session, one beside the session's tables."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="idweave-")
-    context.setCheckpointDir(folder)
+    context.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_idweave")
     return context.getCheckpointDir().rstrip("/")
 
 
@@ -43,8 +42,15 @@ class Workspace:
         df.write.mode("error").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, *names: str) -> None:
+        """Drop tables that nothing reads any more. Frames built on them are unreadable afterwards."""
+        for name in names:
+            self._delete(f"{self.path}/{name}")
+
     def release(self) -> None:
-        """Drop the tables. Frames built on them are unreadable afterwards."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
+        """Drop all tables."""
+        self._delete(self.path)
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

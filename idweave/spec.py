@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
+from idweave.functions.normalize import FAMILY, FULL, GIVEN
 
 @dataclass(frozen=True)
 class Rule:
@@ -17,17 +18,29 @@ class Rule:
 
 @dataclass(frozen=True)
 class FuzzyRule:
-    """Name comparison inside a block. ``days`` = 0 asks for the same date, otherwise
-    the dates must be strictly less than ``days`` apart."""
+    """Name comparison inside a block.
+
+    ``equal``  columns on which both sides agree; any number, at least one
+    ``date``   column of dates: the same with ``days`` = 0, otherwise strictly less than ``days``
+               apart. None: the rule has no date
+    ``names``  columns of given names, surnames and full name
+    """
 
     label: str
-    sex: str = "p_sexo"
-    date: str = "p_fecha_nac"
+    equal: tuple[str, ...] = ("p_sexo",)
+    date: str | None = "p_fecha_nac"
     days: int = 0
+    names: tuple[str, str, str] = (GIVEN, FAMILY, FULL)
+
+    def __post_init__(self) -> None:
+        if not self.equal:
+            raise ValueError("a fuzzy rule needs a block column")
+        if self.days < 0 or (self.days > 0 and self.date is None):
+            raise ValueError("days are 0 or more, and need a date column")
 
     @property
-    def block(self) -> tuple[str, str]:
-        return (self.sex, self.date)
+    def block(self) -> tuple[str, ...]:
+        return (*self.equal, *([self.date] if self.date else []))
 
 
 # Labels, their key columns and their order, most trusted first.
@@ -80,9 +93,9 @@ def applicable(rules: Sequence[Rule], columns: Iterable[str]) -> list[Rule]:
 
 
 def applicable_fuzzy(rules: Sequence[FuzzyRule], columns: Iterable[str]) -> list[FuzzyRule]:
-    """Fuzzy rules whose block columns are all present; names are needed too."""
+    """Fuzzy rules whose block columns and full name are present."""
     columns = set(columns)
-    return [r for r in rules if columns.issuperset(r.block) and "p_nombres_apellidos" in columns]
+    return [r for r in rules if columns.issuperset(r.block) and r.names[2] in columns]
 
 
 @dataclass(frozen=True)

@@ -1,12 +1,14 @@
 import random
 from collections import Counter
+from pathlib import Path
 
 import pytest
 
 from conftest import rows
-from idweave.operators.cascade import cascade, cascade_stepwise, match_exact, unmatched, without_people
+from idweave.operators.cascade import assign_rules, cascade, cascade_stepwise, match_exact, unmatched, without_people
+from idweave.operators.keyfilter import key_bitmap, maybe_among
 from idweave.operators.rowid import with_row_id
-from idweave.operators.uniqueness import ambiguous_on, compact, expand, shrink_stages, unique_on
+from idweave.operators.uniqueness import ambiguous_on, at_stage, compact, expand, staged_registry, unique_on
 from idweave.runtime import Workspace
 from idweave.spec import RULES, Rule, applicable, applicable_fuzzy, FUZZY_RULES, LinkageSpec, usable
 
@@ -26,9 +28,14 @@ def test_uniqueness_is_cumulative(spark):
     rules = [Rule("r0", ("a",), True), Rule("r1", ("b",)), Rule("r2", ("c",), True)]
     # 1 and 2 share a; once both are gone, 3 is alone on c although 2 shared it.
     data = [("1", "x", "k", "u"), ("2", "x", "k", "v"), ("3", "y", "k", "v"), ("4", "z", "k", "w"), ("4", "z", "k", "w")]
-    stages = shrink_stages(compact(spark.createDataFrame(data, SCHEMA)), rules, Workspace(spark))
+    work = Workspace(spark)
+    staged = staged_registry(compact(spark.createDataFrame(data, SCHEMA)), rules, work)
+    stages = [at_stage(staged, i) for i in range(3)]
     assert [[r[0] for r in rows(s, "p_idr")] for s in stages] == [["1", "2", "3", "4"], ["3"], ["3"]]
     assert expand(stages[0]).count() == 5
+    assert [p.name for p in Path(work.path.removeprefix("file:")).iterdir()] == ["registry"]
+    spared = staged_registry(compact(spark.createDataFrame([("1", None, "k", "u"), ("2", None, "k", "u")], SCHEMA)), rules, Workspace(spark), False)
+    assert rows(spared, "p_idr", "last_stage") == [("1", 1), ("2", 1)]
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -53,20 +60,41 @@ def test_single_pass_equals_stepwise(spark, seed):
     pivot = spark.createDataFrame(pivot, "p_idp string, a string, b string, c string")
     slow, slow_rest, slow_registry = cascade_stepwise(registry, pivot, rules, Workspace(spark))
     work = Workspace(spark)
-    stages = shrink_stages(compact(registry), rules, work)
-    fast, fast_rest = cascade(stages, pivot, rules, work)
+    staged = staged_registry(compact(registry), rules, work)
+    fast, fast_rest = cascade(staged, pivot, rules, work)
     columns = ["p_idr", "p_idp", "a", "b", "c", "id_etiqueta"]
     assert slow.count() > 100
     assert rows(fast, *columns) == rows(slow, *columns)
     assert rows(fast_rest, "p_idp") == rows(slow_rest, "p_idp")
-    assert rows(stages[-1], *SCHEMA.replace(" string", "").split(", ")) == rows(
+    assert rows(at_stage(staged, 3), *SCHEMA.replace(" string", "").split(", ")) == rows(
         slow_registry, *SCHEMA.replace(" string", "").split(", ")
     )
 
 
+def test_full_bitmap_only_costs_rows(spark):
+    """Keys that are in the bitmap always pass, however full it is; the emptier it is, the fewer others do."""
+    keys = spark.range(500).selectExpr("cast(id % 100 as string) k", "cast(id % 3 as int) n").unionByName(spark.sql("select cast(null as string) k, 1 n"))
+    tried = spark.range(20_000).selectExpr("cast(id as string) k", "cast(id % 3 as int) n")
+    there = {(r["k"], r["n"]) for r in keys.collect()}
+    passed = {}
+    for bits in (6, 9, 20):
+        bitmap = key_bitmap(keys, ["k", "n"], bits)
+        assert bitmap.count() <= 1 << (bits - 6)
+        got = {(r["k"], r["n"]) for r in maybe_among(tried, ["k", "n"], bitmap, bits).collect()}
+        assert {(r["k"], r["n"]) for r in tried.collect()} & there <= got
+        passed[bits] = len(got)
+    assert passed[6] == 20_000 > passed[9] > passed[20] and passed[20] < 150
+    people = spark.createDataFrame([(str(i), str(i % 70), "b", "c") for i in range(90)], SCHEMA)
+    pivot = spark.range(400).selectExpr("concat('p', id) p_idp", "cast(id % 90 as string) a", "'b' b", "'c' c")
+    rules = [Rule("r0", ("a", "b"), True), Rule("r1", ("a", "c"))]
+    staged = staged_registry(compact(people), rules, Workspace(spark))
+    whole, full = (rows(assign_rules(staged, pivot, rules, bits), "p_idp", "rule_no") for bits in (25, 6))
+    assert whole == full and {r[1] for r in whole} == {0, None}
+
+
 def test_no_rule_applies(spark):
     pivot = spark.createDataFrame([("p", "x")], "p_idp string, a string")
-    found, rest = cascade([], pivot, [], Workspace(spark))
+    found, rest = cascade(None, pivot, [], Workspace(spark))
     assert found.columns == ["p_idr", "p_idp", "a", "id_etiqueta"] and found.count() == 0 and rest.count() == 1
 
 
