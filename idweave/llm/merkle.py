@@ -189,10 +189,10 @@ def _grown(nodes: DataFrame, work: Workspace, name: str, height: int, carry: lis
             return rounds, done
 
 
-def _witnessed(rounds: list[DataFrame], done: list[DataFrame], tops: DataFrame, carry: list[str]) -> DataFrame:
-    """The leaves of the first round with ``places, siblings`` up to the root, and ``subroot, root``.
+def _witnessed(rounds: list[DataFrame], done: list[DataFrame], tops: DataFrame | None, carry: list[str]) -> DataFrame:
+    """The leaves of the first round with ``places, siblings`` up to the root, and ``subroot``.
 
-    ``tops`` has the witnesses of the groups' own roots: ``g_, up_places, up_siblings, root``."""
+    ``tops`` has the witnesses of the groups' own roots: ``g_, up_places, up_siblings, root``; without it the groups' roots are the end."""
     none = [F.array().cast("array<int>").alias("up_places"), F.array().cast("array<string>").alias("up_siblings")]
     above = None
     for runs, finished in zip(reversed(rounds), reversed(done), strict=True):
@@ -213,6 +213,8 @@ def _witnessed(rounds: list[DataFrame], done: list[DataFrame], tops: DataFrame,
     leaves = above.select(
         F.col("g_").alias("g"), F.col("pos_").alias("pos"), "node", *carry, "subroot", F.col("up_places").alias("places"), F.col("up_siblings").alias("siblings")
     )
+    if tops is None:
+        return leaves
     joined = leaves.join(tops, F.expr("g <=> g_"))
     return joined.select(
         "g", "pos", "node", *carry, "subroot", "root",
@@ -235,9 +237,7 @@ def manifest(docs: DataFrame, fields: Sequence[str], group: str, order: str, als
         subroots = subroots.unionByName(more)
     whole = subroots.select(F.lit(0).alias("g"), F.col("g").alias("o"), "node")
     top_rounds, top_done = _grown(whole, work, "groups", height, ["o"])
-    empty = [F.array().cast("array<int>").alias("up_places"), F.array().cast("array<string>").alias("up_siblings")]
-    none = docs.sparkSession.range(1).select(F.lit(0).alias("g_"), *empty, F.lit(None).cast("string").alias("root"))
-    tops = _witnessed(top_rounds, top_done, none, ["o"]).select(
+    tops = _witnessed(top_rounds, top_done, None, ["o"]).select(
         F.col("o").alias("g_"), F.col("places").alias("up_places"), F.col("siblings").alias("up_siblings"), F.col("subroot").alias("root")
     )
     rows = _witnessed(rounds, done, work.store(tops, "tops"), carry)
