@@ -7,7 +7,9 @@ from ``customer`` and ``orders``.
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial
 from pathlib import Path
 
@@ -23,10 +25,11 @@ from idweave.operators import cascade as casc  # noqa: E402
 from idweave.operators import fuzzy, merge, report, residual, uniqueness, validate  # noqa: E402
 from idweave.operators.rowid import with_row_id  # noqa: E402
 from idweave.plans.linkage import LinkageResult, link, prepare_pivot, prepare_registry  # noqa: E402
+from idweave.plans.run import merge_written  # noqa: E402
 from idweave.runtime import Workspace  # noqa: E402
 from idweave.sources import mapping as mapped  # noqa: E402
-from idweave.sources.writers import OUTCOMES  # noqa: E402
-from idweave.spec import FUZZY_RULES, RULES, LinkageSpec, Rule  # noqa: E402
+from idweave.sources.writers import OUTCOMES, Sink  # noqa: E402
+from idweave.spec import FUZZY_RULES, RULES, FuzzyRule, LinkageSpec, Rule  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -245,6 +248,22 @@ def f03(spark, sf):
     return _rounded(best.select("p_idr", "id_hash", "semidifuso"), "semidifuso")
 
 
+CUSTOM = FuzzyRule(
+    "idif_sexo_inicial_fna_30", equal=("p_sexo", "inicial"), days=30, names=("alias_n", "alias_a", "alias_na")
+)
+
+
+def f06(spark, sf):
+    """A rule with three block columns and name columns of its own."""
+
+    def own(df):
+        aliases = zip(CUSTOM.names, ("p_nombres", "p_apellidos", "p_nombres_apellidos"), strict=True)
+        return df.withColumns({a: F.lower(c) for a, c in aliases} | {"inicial": F.substring("p_nombres", 1, 1)})
+
+    found = fuzzy.fuzzy_range(own(_registry(spark, sf)), own(_pivot(spark, sf)), CUSTOM, True)
+    return _rounded(found.select("p_idr", "id_hash", "id_etiqueta", "inicial", "semidifuso"), "semidifuso")
+
+
 def f05(spark, sf):
     return fuzzy.used_once(_ranged(spark, sf)).select("p_idr", "id_hash")
 
@@ -289,6 +308,11 @@ def j01_full(spark, sf):
     return _outcomes(link(fixtures.registry(spark, sf), rows, spec))
 
 
+def j02(spark, sf):
+    """Matched people leave the registry before the fuzzy stage."""
+    return _outcomes(_link(spark, sf, replace(KEYED, drop_matched=True)))
+
+
 def a01(spark, sf):
     return report.label_counts(validate.recovered(*_validated(spark, sf)))
 
@@ -313,6 +337,26 @@ def merged(steps, spark, sf):
     return merge.merge_results(fixtures.pv(spark, sf).drop("truth"), outcomes, fixtures.MAPPING, steps)
 
 
+def w10(spark, sf):
+    """The outcomes written to bucketed tables, the source bucketed alike, and merged from there."""
+    result, run = _link(spark, sf), uuid.uuid4().hex
+    sink = Sink("table", "", {"path": result.work.path}, buckets=8)
+    table = f"w10_{run}_"
+    source = fixtures.pv(spark, sf).drop("truth")
+    for name, write in ((f"{table}source", source), *((f"{table}{s}", getattr(result, o)) for o, s in OUTCOMES.items())):
+        replace(sink, options={"path": f"{result.work.path}/{name}"}).write(write, name, "overwrite")
+    return merge_written(spark, spark.read.table(f"{table}source"), fixtures.MAPPING, table, sink)
+
+
+def w12(spark, sf):
+    """Row keys that many rows share: the lowest score, then the lowest person decides."""
+    source = fixtures.pv_repeated(spark, sf)
+    rows = mapped.project_concepts(source, fixtures.MAPPING)
+    result = link(fixtures.registry(spark, sf), rows, GENERAL)
+    outcomes = {name: getattr(result, name) for name in OUTCOMES}
+    return merge.merge_results(source.drop("truth"), outcomes, fixtures.MAPPING)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Whole linkage on the smallest tables."""
     return j01(spark, SMOKE_DIR)
@@ -353,11 +397,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "f02_fuzzy_range": f02,
         "f03_best_candidate": f03,
         "f05_unico": f05,
+        "f06_custom_block": f06,
         "r01_residual_join": r01,
         "r02_residuals": partial(settled, residual.residual_matches),
         "r03_not_found": partial(settled, residual.not_found),
         "j01_full_linkage": j01,
         "j01_full_name_pivot": j01_full,
+        "j02_drop_matched": j02,
         "a01_label_counts": a01,
         "a02_total": a02,
         "a03_outcome_summary": a03,
@@ -369,6 +415,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "w07_residual": partial(merged, ["residual"]),
         "w08_residual_no_names": partial(merged, ["residual_no_names"]),
         "w09_merged": partial(merged, None),
+        "w10_from_written": w10,
+        "w12_repeated_key": w12,
     }
     if llm:
         out |= llm.queries() | {"pipeline": corpus_pipeline.run}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from idweave.functions.normalize import FAMILY, FULL, GIVEN, with_dates, with_full_name, with_initials
@@ -32,7 +32,8 @@ PAIR = "_pair"
 class LinkageResult:
     """The four outcomes, what is left of the registry, and the stored tables behind them.
 
-    Call ``release`` once the outcomes are written.
+    ``labels`` are those a match can have, ``exact_labels`` those of exact rules; ``unresolved_rows`` is
+    the size of ``unresolved``, counted while it was stored. Call ``release`` once the outcomes are written.
     """
 
     matched: DataFrame
@@ -43,6 +44,9 @@ class LinkageResult:
     unresolved: DataFrame
     registry_left: DataFrame
     work: Workspace
+    labels: tuple[str, ...] = ()
+    exact_labels: tuple[str, ...] = ()
+    unresolved_rows: int = 0
 
     def release(self) -> None:
         self.work.release()
@@ -143,7 +147,9 @@ def _link(registry: DataFrame, pivot: DataFrame, spec: LinkageSpec, work: Worksp
             ranged = close.where(F.col(LABEL).isin([r.label for r in group if r.days > 0]))
             left = left.join(used_once(ranged).select(PERSON), PERSON, "left_anti")
 
-    unresolved = work.store(score_residual(residual_join(rest, names), parts), "unresolved")
+    seen = Observation()
+    unresolved = score_residual(residual_join(rest, names), parts).observe(seen, F.count(F.lit(1)).alias("rows"))
+    unresolved = work.store(unresolved, "unresolved")
     return LinkageResult(
         matched=matched,
         not_found=not_found(unresolved, spec.threshold),
@@ -153,4 +159,7 @@ def _link(registry: DataFrame, pivot: DataFrame, spec: LinkageSpec, work: Worksp
         unresolved=unresolved,
         registry_left=_whole_rows(full_registry, left.drop(COPIES)),
         work=work,
+        labels=tuple(dict.fromkeys(r.label for r in (*rules, *fuzzy_rules))),
+        exact_labels=tuple(r.label for r in rules),
+        unresolved_rows=seen.get["rows"],
     )

@@ -74,6 +74,9 @@ select 'h' || lpad(cast(ok as string), 9, '0') id_hash, cls, p_cedula truth,
 from t
 """
 
+# At most 4001 keys, so that rows share them; the first rows have none.
+REPEATED_KEY = "case when id_hash > 'h000000009' then 'k' || cast(cast(right(id_hash, 9) as bigint) % 4001 as string) end"
+
 MAPPING = [
     MappedColumn(c, f"p_{c}")
     for c in (
@@ -102,6 +105,11 @@ def pv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(PV_SQL, orders=table(spark, sf_dir, "orders"), registry=registry(spark, sf_dir))
 
 
+def pv_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pivot whose row keys are shared by some rows each; a few are null."""
+    return pv(spark, sf_dir).withColumn("id_hash", F.expr(REPEATED_KEY))
+
+
 def pv_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pivot that knows full names only, each completed from its parts."""
     built = F.coalesce("nombres_apellidos", F.concat_ws(" ", "apellidos", "nombres"))

@@ -6,8 +6,38 @@ library plans the same work.
 
 from __future__ import annotations
 
-from idweave.spec import RULES, Rule
-from linkage_fixtures import PV_SQL, REGISTRY_SQL
+from typing import NamedTuple
+
+from linkage_fixtures import PV_SQL, REGISTRY_SQL, REPEATED_KEY
+
+
+class Rule(NamedTuple):
+    label: str
+    keys: tuple[str, ...]
+    unique: bool = False
+
+
+# Labels, key columns, order, and whether the registry must be unique on the key. Kept apart from the
+# library's own table, so that a slip there shows.
+RULES = [
+    Rule("id_cedula_nombre_apell", ("p_cedula", "p_nombres", "p_apellidos")),
+    Rule("id_cedula_nombreyapllido", ("p_cedula", "p_nombres_apellidos")),
+    Rule("id_cedula_sexo_fna", ("p_cedula", "p_sexo", "p_fecha_nac")),
+    Rule("id_nombre_apell_sexo_fnac", ("p_nombres", "p_apellidos", "p_sexo", "p_fecha_nac")),
+    Rule("id_nombreyapell_sexo_fnac", ("p_nombres_apellidos", "p_sexo", "p_fecha_nac")),
+    Rule("id_cedula_iniciales_sexo", ("p_cedula", "iniciales", "p_sexo")),
+    Rule("id_apell_sexo_fnac", ("p_apellidos", "p_sexo", "p_fecha_nac"), True),
+    Rule("id_cedulma_fna_sexo", ("p_cedula_mad", "p_fecha_nac", "p_sexo"), True),
+    Rule("id_cedulpa_fna_sexo", ("p_cedula_pad", "p_fecha_nac", "p_sexo"), True),
+    Rule("id_cedulma_nombre_apell", ("p_cedula_mad", "p_nombres", "p_apellidos")),
+    Rule("id_cedulma_nombreyapell", ("p_cedula_mad", "p_nombres_apellidos")),
+    Rule("id_cedulpa_nombre_apell", ("p_cedula_pad", "p_nombres", "p_apellidos")),
+    Rule("id_cedulpa_nombreyapell", ("p_cedula_pad", "p_nombres_apellidos")),
+    Rule("id_cedulma_iniciale_sexo", ("p_cedula_mad", "iniciales", "p_sexo"), True),
+    Rule("id_cedulpa_iniciale_sexo", ("p_cedula_pad", "iniciales", "p_sexo"), True),
+    Rule("id_cedulma_apell", ("p_cedula_mad", "p_apellidos"), True),
+    Rule("id_cedulpa_apell", ("p_cedula_pad", "p_apellidos"), True),
+]
 
 CONCEPTS = [
     "p_cedula",
@@ -208,18 +238,22 @@ def settled(scored: str, accept: str, label: str) -> str:
     return f"select *, '{label}' id_etiqueta from (" + best(f"select * from {scored} where {accept}") + ")"
 
 
-def linkage(full_only: bool = False) -> dict[str, str]:
+def linkage(full_only: bool = False, drop_matched: bool = False, base: dict[str, str] | None = None) -> dict[str, str]:
     """Adds the four outcomes: matched, not_found, validated, residual."""
     parts = not full_only
     columns = FULL_PIVOT if full_only else PIVOT
-    base = FULL_FIXTURES if full_only else FIXTURES
+    base = base or (FULL_FIXTURES if full_only else FIXTURES)
     have = {c.strip() for c in columns.split(",")}
     rules = [r for r in RULES if have.issuperset(r.keys)]
     ctes = validation(cascade(base, rules, columns), parts)
     outcome = f"p_idr, p_idp, {columns}, id_etiqueta, {REG_NAMES}"
-    ctes["f1"] = fuzzy("reg", "rest", SAME_DATE, "idif_sexo_fna_N_A", parts)
+    left = "reg"
+    if drop_matched:
+        ctes["reg_left"] = "select distinct * from reg where p_idr not in (select p_idr from m)"
+        left = "reg_left"
+    ctes["f1"] = fuzzy(left, "rest", SAME_DATE, "idif_sexo_fna_N_A", parts)
     ctes["rest2"] = "select * from rest where p_idp not in (select p_idp from f1)"
-    ctes["f2"] = fuzzy("reg", "rest2", NEAR_DATE, "idif_sexo_fna_N_A_30", parts)
+    ctes["f2"] = fuzzy(left, "rest2", NEAR_DATE, "idif_sexo_fna_N_A_30", parts)
     ctes["rest3"] = "select * from rest2 where p_idp not in (select p_idp from f2)"
     ctes["matched"] = " union all ".join(f"select {outcome} from {t}" for t in ("recovered", "f1", "f2"))
     ctes["unresolved"] = residual("rest3", "names", "cast(null as varchar)" if full_only else "p.p_cedula", parts)
@@ -258,14 +292,17 @@ SOURCE = (
 
 
 def merged(ctes: dict[str, str], steps: list[str]) -> str:
-    """The updates as a chain of CTEs, one after the other."""
+    """The updates as a chain of CTEs, one after the other. Where an outcome has several rows for one key, the lowest
+    score it knows decides, then the lowest person, then label and names."""
     ctes = dict(ctes)
     ctes["t0"] = SOURCE
+    names = ", ".join(f"{n.strip()} nulls first" for n in REG_NAMES.split(","))
     for i, step in enumerate(steps):
         outcome, state, rows, sets = UPDATES[step]
         ctes[f"u{i}"] = (
             f"select * exclude (rn) from (select id_hash, p_idr, id_etiqueta, {REG_NAMES}, row_number() over "
-            f"(partition by id_hash order by p_idr, {REG_NAMES}) rn from {outcome} where {rows}) where rn = 1"
+            f"(partition by id_hash order by {'semidifuso, ' if outcome in ('residual', 'not_found') else ''}"
+            f"p_idr nulls last, id_etiqueta, {names}) rn from {outcome} where {rows}) where rn = 1"
         )
 
         def value(column: str, new: str) -> str:
@@ -311,6 +348,14 @@ def all_sql() -> dict[str, str]:
     link, casc = linkage(), cascade(FIXTURES)
     valid = validation(casc)
     full = linkage(full_only=True)
+    # Row ids stay unique while keys repeat.
+    repeated = linkage(
+        base=FIXTURES
+        | {
+            "pv": f"select * replace ({REPEATED_KEY} as id_hash), id_hash as row_id from ({FIXTURES['pv']})",
+            "piv_all": FIXTURES["piv_all"].replace("select id_hash p_idp", "select row_id p_idp"),
+        }
+    )
     sql = {
         "s03_mapped_projection": statement(fixtures, f"select {MAPPED}, id_hash from pv"),
         "s04_missing_defaults": statement(
@@ -399,6 +444,11 @@ def all_sql() -> dict[str, str]:
             fixtures | {"f": fuzzy("reg0", "piv", NEAR_DATE, "idif_sexo_fna_N_A_30")},
             f"select p_idr, id_hash, id_etiqueta, {r6('semidifuso', 'semidifuso')} from f",
         ),
+        "f06_custom_block": statement(
+            fixtures
+            | {"f": fuzzy("reg0", "piv", f"{NEAR_DATE} and left(r.p_nombres, 1) = left(p.p_nombres, 1)", "idif_sexo_inicial_fna_30")},
+            f"select p_idr, id_hash, id_etiqueta, left(p_nombres, 1) inicial, {r6('semidifuso', 'semidifuso')} from f",
+        ),
         "f03_best_candidate": statement(
             names0
             | {
@@ -426,6 +476,7 @@ def all_sql() -> dict[str, str]:
         ),
         "j01_full_linkage": statement(link, outcomes()),
         "j01_full_name_pivot": statement(full, outcomes(full_only=True)),
+        "j02_drop_matched": statement(linkage(drop_matched=True), outcomes()),
         "a01_label_counts": statement(valid, 'select id_etiqueta, count(*) "count" from recovered group by id_etiqueta'),
         "a02_total": statement(valid, "select count(*) total from recovered"),
         "a03_outcome_summary": statement(
@@ -449,5 +500,7 @@ def all_sql() -> dict[str, str]:
         "w07_residual": merged(link, ["residual"]),
         "w08_residual_no_names": merged(link, ["residual_no_names"]),
         "w09_merged": merged(link, list(UPDATES)),
+        "w10_from_written": merged(link, list(UPDATES)),
+        "w12_repeated_key": merged(repeated, list(UPDATES)),
     }
     return sql

@@ -1,9 +1,14 @@
+from pathlib import Path
+
 import pytest
 
 from conftest import rows
 from idweave import LinkageSpec, link
-from idweave.plans.run import link_table, updated_source
-from idweave.sources.mapping import MappedColumn
+from idweave.plans.run import Job, link_table, run_job, updated_source
+from idweave.operators import report
+from idweave.sources.mapping import JobError, MappedColumn
+from idweave.sources.readers import Source
+from idweave.sources.writers import Sink, write_results
 from idweave.spec import FUZZY_RULES, FuzzyRule
 
 REG = (
@@ -157,3 +162,70 @@ def test_fuzzy_rules_with_unlike_blocks(spark):
     for rules, expected in (((*FUZZY_RULES, event), {"birth": FUZZY_RULES[0].label, "event": "by_event"}), ((event,), {"event": "by_event"})):
         result = link(registry, pivot, LinkageSpec(columns=(*COLUMNS, "p_fecha_de_fatte"), fuzzy_rules=rules))
         assert {r.id_hash: r.id_etiqueta for r in result.matched.collect()} == expected
+
+
+def test_counts_while_writing_and_stored_tables(spark, tmp_path):
+    result = link(*frames(spark), LinkageSpec(columns=COLUMNS))
+    stored = {p.name for p in Path(result.work.path.removeprefix("file:")).iterdir()}
+    assert stored == {"pivot", "registry", "assigned", "scored", "validated", "fuzzy0", "unresolved"}
+    summary = report.outcome_summary(result.matched, result.deterministic, result.unresolved, result.validated)
+    assert write_results(result, "t_", Sink("parquet", str(tmp_path))) == {r.id_etiqueta: r["count"] for r in summary.collect()}
+
+
+def test_a_failed_step_leaves_no_tables(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr("idweave.plans.linkage.residual_join", lambda *_: made.append(1) or 1 / 0)
+    before = set(Path(spark.conf.get("spark.checkpoint.dir")).glob("idweave-*"))
+    with pytest.raises(ZeroDivisionError):
+        link(*frames(spark), LinkageSpec(columns=COLUMNS))
+    assert made and set(Path(spark.conf.get("spark.checkpoint.dir")).glob("idweave-*")) == before
+
+
+def test_fuzzy_rules_with_their_own_names_and_blocks(spark):
+    """Any number of block columns, other name columns, and rules without a date."""
+    columns = "p_cedula string, p_nombres string, p_apellidos string, p_nombres_apellidos string, p_sexo string, p_fecha_nac string, canton string, alias string"
+    people = [("01", "LUIS ANDRES", "MORA LEON", "MORA LEON LUIS ANDRES", "1", "1991-02-03", "k1", "DON LUCHO MORA")]
+    table = [
+        (None, "X", "Y", "Y X", "1", "1991-02-10", "k1", "DON LUCHO MORAS", "alias"),
+        (None, "X", "Y", "Y X", "1", "1991-02-10", "k2", "DON LUCHO MORAS", "other block"),
+        (None, "X", "Y", "Y X", "1", None, "k1", "DON LUCHO MORAS", "no date"),
+        (None, "LUIS ANDRES", "MORA LEOM", "MORA LEOM LUIS ANDRES", "1", "1991-02-03", "k9", None, "default names"),
+    ]
+    registry = spark.createDataFrame([(*p, "a") for p in people], columns + ", id_hash_rp string")
+    pivot = spark.createDataFrame(table, columns + ", id_hash string")
+    names = ("alias_n", "alias_a", "alias")
+    near = FuzzyRule("by_alias", equal=("p_sexo", "canton"), days=30, names=names)
+    undated = FuzzyRule("undated", equal=("p_sexo", "canton"), date=None, names=names)
+    spec = LinkageSpec(columns=(*COLUMNS, "canton", "alias"), fuzzy_rules=(*FUZZY_RULES, near, undated))
+    got = {r.id_hash: r.id_etiqueta for r in link(registry, pivot, spec).matched.collect()}
+    assert got == {"alias": "by_alias", "no date": "undated", "default names": FUZZY_RULES[0].label}
+    for wrong in ({"equal": ()}, {"date": None, "days": 3}, {"days": -1}):
+        with pytest.raises(ValueError):
+            FuzzyRule("wrong", **wrong)
+
+
+@pytest.mark.parametrize("results", ["parquet", "table"])
+def test_whole_job(spark, tmp_path, results):
+    people, pivot = frames(spark)
+    table = f"me06_{results}"
+    names = {"ced": "p_cedula", "nom": "p_nombres", "ape": "p_apellidos", "sex": "p_sexo", "fec": "p_fecha_nac"}
+    pivot.selectExpr(*[f"{v} {k}" for k, v in names.items()], "id_hash").write.parquet(f"{tmp_path}/{table}")
+    people.selectExpr("*", "cast(null as string) p_identidad_mad", "cast(null as string) p_identidad_pad").write.parquet(f"{tmp_path}/people")
+    spark.createDataFrame([(table, k, v) for k, v in names.items()], "tabla_entrada string, variables_tabla string, concepto string").write.parquet(f"{tmp_path}/mapping")
+    spark.createDataFrame([("TRUE", table)], "precision string, tabla_escritura string").write.parquet(f"{tmp_path}/control")
+    at = lambda name: Source("parquet", f"{tmp_path}/{name}")
+    out = Sink("parquet", f"{tmp_path}/out")
+    sink = out if results == "parquet" else Sink("table", "")
+    job = Job(at("people"), at("mapping"), Source("parquet", str(tmp_path)), sink, control=at("control"), target=out, log=out, pruned=True)
+    counts = run_job(spark, job)
+    assert counts["total encontrados"] == 4 and counts["Validados"] == 1
+    updated = {r.id_hash: r.estado_identidad for r in spark.read.parquet(f"{tmp_path}/out/{table}_actualizada").collect()}
+    assert updated == {
+        "exact": "validados", "by_id_and_date": "recuperado", "typo": "recuperado", "typo_near_date": "recuperado",
+        "shrunk_away": "recuperado", "residual": "residuales", "unknown_id": "no encontrado", "empty": "no encontrado",
+    }
+    assert rows(spark.read.parquet(f"{tmp_path}/out/log_ratore"), "tabla", "proceso") == [(table, "guardado"), (table, "inicio")]
+    with pytest.raises(JobError):
+        run_job(spark, Job(at("people"), at("mapping"), at(""), sink, pattern="^nothing", log=out))
+    with pytest.raises(ValueError):
+        Job(at("people"), at("mapping"), at(""), sink)

@@ -1,4 +1,9 @@
+import pytest
+from pyspark.sql import functions as F
+
 from idweave.operators import merge, report
+from idweave.plans.run import merge_written, write_updated
+from idweave.sources.writers import OUTCOMES, Sink
 from idweave.sources.mapping import MappedColumn
 
 MAPPING = [MappedColumn(c, f"p_{c}") for c in ("cedula", "nombres", "apellidos")]
@@ -95,3 +100,61 @@ def test_reports(spark):
         "No encontrados": 1,
         "Validados": 2,
     }
+
+
+def test_lowest_score_then_lowest_person_decides(spark):
+    source, _ = frames(spark)
+    residual = spark.createDataFrame(
+        [("a", "9", "r", "N", "A", "F", 0.1), ("a", "1", "r", "N", "A", "F", 0.15), ("b", None, "r", "N", "A", "F", 0.1), ("b", "7", "r", "N", "A", "F", 0.1)],
+        OUT + ", semidifuso double",
+    )
+    got = updated(merge.merge_results(source, {"residual": residual}, MAPPING))
+    assert got["a"][0] == "9" and got["b"][0] == "7"
+    matched = outcome(spark, ("a", None, "m", "N", "A", "F"), ("a", "5", "m", "N", "A", "F"), ("a", "4", "m", "N", "A", "F"))
+    assert updated(merge.merge_results(source, {"matched": matched}, MAPPING))["a"][0] == "4"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_written_outcomes_meet_without_exchange(spark, conf):
+    source, outcomes = frames(spark)
+    sink = Sink("table", "", buckets=4)
+    sink.write(source, "wsource", "overwrite")
+    for name, suffix in OUTCOMES.items():
+        sink.write(outcomes[name], f"w_{suffix}", "overwrite")
+    with conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+        merged = merge_written(spark, spark.table("wsource"), MAPPING, "w_", sink)
+        assert merged.count() == source.count()
+        assert updated(merged) == updated(merge.merge_results(source, outcomes, MAPPING))
+        text = plan_of(merged)
+        assert "Exchange" not in text and "SortMergeJoin" in text
+    plain = merge_written(spark, spark.table("wsource"), MAPPING, "w_", Sink("table", ""), validated_wins=True)
+    assert updated(plain)["b"][5] == "validados"
+    with pytest.raises(ValueError, match="buckets"):
+        Sink("parquet", "p", buckets=2)
+
+
+def test_row_level_merge_is_built_from_the_steps(spark):
+    """Condition and assignments, evaluated on a join as the table format would; no catalog is started."""
+    source, outcomes = frames(spark)
+    target = merge.with_target_columns(source)
+    updates, condition, new = merge.merge_statement(outcomes, MAPPING, "target", target.columns)
+    met = target.alias("target").join(updates, condition, "left")
+    applied = met.select(*[new.get(c, F.col(f"target.{c}")).alias(c) for c in target.columns])
+    assert updated(applied) == updated(merge.merge_results(source, outcomes, MAPPING))
+    assert set(new) == {"id_etiqueta", "estado_identidad", "cedula", "nombres", "apellidos", "p_nombres_apellidos"}
+    assert updates.groupBy("id_hash").count().where("count > 1").count() == 0
+    with pytest.raises(ValueError, match="lacks"):
+        merge.merge_statement(outcomes, MAPPING, "target", source.columns)
+
+
+def test_updated_source_goes_to_a_new_place(spark, tmp_path):
+    source, outcomes = frames(spark)
+    sink = Sink("parquet", str(tmp_path))
+    write_updated(merge.merge_results(source, outcomes, MAPPING), sink, "new")
+    back = spark.read.parquet(f"{tmp_path}/new")
+    assert updated(back) == updated(merge.merge_results(source, outcomes, MAPPING))
+    with pytest.raises(Exception, match="(?i)exist"):
+        write_updated(source, sink, "new")

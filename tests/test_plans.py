@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from idweave.operators.cascade import _unfold_keys, assign_rules, matched_pairs, without_people
-from idweave.operators.fuzzy import fuzzy_match
+from idweave.operators.fuzzy import fuzzy_match, used_once
 from idweave.operators.joins import left_lookup
 from idweave.operators.uniqueness import at_stage, compact, staged_registry, unique_on
+from idweave.operators.validate import best_candidate
 from idweave.runtime import Workspace
 from idweave.sources.mapping import registry_scope
 from idweave.spec import FUZZY_RULES, RULES, Rule
@@ -143,3 +144,27 @@ def test_keys_are_one_to_one(spark):
     keys = [r.rule_key for r in _unfold_keys(df, [Rule("r", ("a", "b"))], ["a"]).collect()]
     assert len(keys) == 3 and len(set(keys)) == 3
     assert len({r.label for r in RULES}) == 17
+
+
+@needs_data
+def test_best_rows_need_no_sorted_fold(spark):
+    """First rows and groups of one: no aggregate sorts whole rows, and candidates are cut before the exchange."""
+    import __spark_entry__ as entry
+
+    for name in ("f03_best_candidate", "r02_residuals", "u01_unique_key"):
+        assert "SortAggregate" not in plan(entry.queries()[name](spark, DATA))
+    matches = spark.range(100).selectExpr("concat('p', id) p_idp", "concat('r', id % 7) p_idr")
+    assert "SortAggregate" not in plan(used_once(matches))
+
+
+def test_row_with_very_many_candidates(spark):
+    """They are cut to one per task before the exchange."""
+    names = [f"'x' as {c}" for c in ("p_nombres_reg", "p_apellidos_reg", "p_nombres_apellidos_reg")]
+    scored = spark.range(0, 40_000, 1, 8).selectExpr(
+        "if(id % 2 = 0, 'hot', concat('p', id)) p_idp", "format_string('r%06d', 40000 - id) p_idr", *names, "cast(id % 5 as double) / 10 semidifuso"
+    )
+    best = best_candidate(scored, "semidifuso >= 0.1")
+    assert best.count() == 20_001 - 4_000
+    assert rows(best.where("p_idp = 'hot'"), "p_idr", "semidifuso") == [("r000004", 0.1)]
+    text = plan(best)
+    assert text.index("WindowGroupLimit") < text.index("Exchange") < text.rindex("WindowGroupLimit")

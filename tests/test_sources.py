@@ -6,8 +6,8 @@ import pytest
 from conftest import rows
 from idweave.runtime import Workspace, shared_dir
 from idweave.sources import mapping as m
-from idweave.sources.readers import Source, read_pivot, read_registry
-from idweave.sources.writers import Sink, log_event, write_registry_left, write_results
+from idweave.sources.readers import Source, modulo_predicates, prefix_bounds, range_predicates, read_pivot, read_registry
+from idweave.sources.writers import Sink, log_event, write_at_once, write_registry_left, write_results
 
 MAPPING = [
     ("t1", "ced", "p_cedula"),
@@ -96,6 +96,67 @@ def test_readers(spark, tmp_path):
     assert Source("jdbc", "people", {"url": "u"}).reader_options() == {"url": "u", "dbtable": "people"}
 
 
+@pytest.mark.parametrize("bounds", [[], ["5"], ["2", "5", "7"], ["7", "2", "O'Neil", "2"]])
+def test_range_predicates_hold_every_row_once(spark, bounds):
+    """Also when the bounds are not in order, as under another collation."""
+    keys = [None, "", "0", "2", "20", "5", "6", "7", "9", "O'Neil", "é"]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    found = [r["k"] for p in range_predicates("k", bounds) for r in df.where(p).collect()]
+    assert sorted(found, key=str) == sorted(keys, key=str)
+    assert len(range_predicates("k", bounds)) == len(bounds) + 1
+
+
+def test_modulo_predicates_hold_every_row_once(spark):
+    df = spark.range(-50, 50).selectExpr("id", "cast(if(id % 9 = 0, null, id * 37) as bigint) h")
+    parts = modulo_predicates("h", 7)
+    sizes = [df.where(p).count() for p in parts]
+    assert len(parts) == 7 and sum(sizes) == 100 and min(sizes) > 0
+    assert df.where(" or ".join(f"cast({a} and {b} as boolean)" for i, a in enumerate(parts) for b in parts[:i])).count() == 0
+
+
+def test_prefix_bounds():
+    assert prefix_bounds(1) == [] and prefix_bounds(4) == ["2", "5", "7"]
+    many = prefix_bounds(32)
+    assert len(many) == 31 and many == sorted(set(many)) and {len(b) for b in many} == {2}
+    assert prefix_bounds(2, "ABCD") == ["C"]
+
+
+def test_predicates_reach_the_reader(monkeypatch):
+    calls = {}
+    fake = SimpleNamespace(read=SimpleNamespace(jdbc=lambda url, table, **more: calls.update(url=url, table=table, **more)))
+    parts = range_predicates("p_cedula", prefix_bounds(3))
+    read_registry(fake, Source("jdbc", "people", {"url": "jdbc:x", "user": "u"}, predicates=parts))
+    assert calls == {"url": "jdbc:x", "table": "people", "predicates": list(parts), "properties": {"user": "u"}}
+    for wrong in ({"predicates": parts}, {"options": {"url": "u"}, "predicates": parts, "split_on": ("a", "0", "1", 2)}):
+        with pytest.raises(ValueError):
+            Source("jdbc", "people", **wrong)
+    with pytest.raises(ValueError, match="JDBC"):
+        Source("parquet", "p", {"url": "u"}, predicates=parts)
+
+
+def test_outcomes_in_one_pass(spark, tmp_path):
+    """One write; views give each outcome back with its own columns; counts come from the same pass."""
+    one = spark.createDataFrame([("1", "a", "x"), ("2", None, "y"), ("2", None, "y")], "p_idr string, v string, id_etiqueta string")
+    scored = one.selectExpr("*", "0.25D as semidifuso")
+    result = SimpleNamespace(
+        matched=one, not_found=scored.where("false"), validated=one.where("p_idr = '1'"), residual=scored, labels=("x", "y", "z"), exact_labels=("x",), unresolved_rows=5
+    )
+    expected = {"x": 1, "y": 2, "total deterministico": 1, "total difuso": 2, "total encontrados": 3, "No encontrados": 5, "Validados": 1}
+    for sink, table in ((Sink("parquet", str(tmp_path)), "una_"), (Sink("table", ""), "dos_")):
+        group = f"one pass {table}"
+        spark.sparkContext.setJobGroup(group, group)
+        assert write_at_once(result, table, sink) == expected
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert len(jobs) == 1
+        for suffix, df in (("mach_join", one), ("mach_pivot", scored.where("false")), ("validados", one.where("p_idr = '1'")), ("residuales", scored)):
+            back = spark.table(f"{table}{suffix}")
+            assert back.columns == df.columns and rows(back, *df.columns) == rows(df, *df.columns)
+    assert write_results(result, "tres_", Sink("parquet", str(tmp_path))) == expected
+    with pytest.raises(ValueError, match="JDBC"):
+        write_at_once(result, "t", Sink("jdbc", ""))
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("1", None)], "p_idr string, v string")
     result = SimpleNamespace(matched=df, not_found=df.limit(0), validated=df, residual=df, registry_left=df)
