@@ -6,8 +6,8 @@ huge. Candidates come first and only they are compared; every reduction is exact
 * rows that agree on block and names are one *profile* on either side, so copies are
   compared once. Profiles are numbered and stored with their grams, each prepared once;
 * an accepted pair must have close full names, so it shares one of the rarest grams of both
-  (``similarity.prefix_size``): the equi-join key is block + gram, not block. What is joined is
-  the profile's number and a few figures, never a name;
+  (``similarity.prefix_size``): the equi-join key is block + gram, not block, hashed to one number. What
+  is joined is the profile's number and a few figures, never a name;
 * two names that share a gram are candidates only if their lengths, and what is left of both from that
   gram on, allow the cosine;
 * distinct candidates, as pairs of numbers, meet their grams again, and those that stay their names.
@@ -63,44 +63,46 @@ def _profiles(df: DataFrame, side: str, rule: FuzzyRule, ranking: Sequence[int],
     """Numbered profiles: block key, day, names, grams of the full name, and the columns ``more``."""
     day = f"unix_date({rule.date})" if rule.date else "0"
     names = [f"{c} as {side}_{n}" for c, n in zip(rule.names, ("given", "family", "full"), strict=True) if c in df.columns]
-    keyed = df.selectExpr(f"{key_text(rule.equal)} as block", f"{day} as {side}_day", *names, *more)
+    keyed = df.selectExpr(f"{key_text(rule.equal)} as {side}_block", f"{day} as {side}_day", *names, *more)
     numbered = with_grams(keyed, {side: f"{side}_full"}, ranking)
     return numbered.withColumn(f"{side}_no", F.monotonically_increasing_id())
 
 
 def _entries(profiles: DataFrame, side: str, cosine: float) -> DataFrame:
-    """One narrow row per gram of the prefix of the full name."""
-    figures = [f"{side}_no", "block", f"{side}_day", f"{side}_n2"]
+    """One narrow row per gram of the prefix of the full name: numbers only."""
+    figures = [f"{side}_no", f"xxhash64({side}_block) as _block", f"{side}_day", f"{side}_n2"]
     sizes = [f"size({side}_u) + size({side}_x) as {side}_length", f"{largest_count(f'{side}_x')} as {side}_peak"]
     prefix = f"posexplode(slice({side}_u, 1, {prefix_size(side, cosine)})) as (_at, _gram)"
+    kept = [f"{side}_no", "_block", f"{side}_day", f"{side}_n2", f"{side}_length", f"{side}_peak", "_gram"]
     return profiles.selectExpr(*figures, *sizes, f"{side}_u", f"{side}_x", prefix).selectExpr(
-        *figures, f"{side}_length", f"{side}_peak", "_gram", f"{squares_from(side, '_at')} as {side}_tail"
+        *kept, f"{squares_from(side, '_at')} as {side}_tail"
     )
 
 
 def candidates(people: DataFrame, rows: DataFrame, days: int, cosine: float) -> DataFrame:
     """Distinct ``p_no, r_no`` of all profiles whose full names may reach ``cosine``, on narrow rows.
 
-    Of the grams a pair shares in both prefixes, the first has everything shared behind it: by
-    Cauchy-Schwarz the squares from there on bound the dot product. A pair that passes at a later gram only is one
-    candidate too many, never one too few. The number of grams of one name times the largest count of the other is a
-    bound as well.
+    Block, gram and date meet as one hashed number, so a few candidates may have unlike blocks: the comparison
+    of the pair asks for the block again. Of the grams a pair shares in both prefixes, the first has everything
+    shared behind it: by Cauchy-Schwarz the squares from there on bound the dot product. A pair that passes
+    at a later gram only is one candidate too many, never one too few. The number of grams of one name
+    times the largest count of the other is a bound as well.
     """
     people, rows = _entries(people, "r", cosine), _entries(rows, "p", cosine)
-    on, near = ["block", "_gram"], "true"
     if days > 0:
         low, high = (f"floor((p_day {sign} {days - 1}) / {days})" for sign in "-+")
-        people = people.selectExpr("*", f"floor(r_day / {days}) as _bucket")
-        rows = rows.selectExpr("*", f"explode(sequence({low}, {high})) as _bucket")
-        on, near = [*on, "_bucket"], f"abs(r_day - p_day) < {days}"
+        people = people.selectExpr("*", f"floor(r_day / {days}) as _slot")
+        rows = rows.selectExpr("*", f"explode(sequence({low}, {high})) as _slot")
+        near = f"abs(r_day - p_day) < {days}"
     else:
-        people, rows = people.withColumnRenamed("r_day", "_day"), rows.withColumnRenamed("p_day", "_day")
-        on = [*on, "_day"]
+        people, rows, near = people.selectExpr("*", "r_day as _slot"), rows.selectExpr("*", "p_day as _slot"), "true"
+    met = "xxhash64(_block, _gram, cast(_slot as bigint)) as _key"
+    people, rows = (df.selectExpr("*", met).drop("_block", "_gram", "_slot") for df in (people, rows))
     reach = f"{cosine * cosine!r}D * p_n2 * r_n2"
     enough = f"cast(p_tail as double) * r_tail >= {reach}"
     lengths = "cast(least(p_length * r_peak, r_length * p_peak) as double)"
-    met = rows.join(people, on).where(f"{near} and {enough} and {lengths} * {lengths} >= {reach}")
-    return met.select("p_no", "r_no").distinct()
+    pairs = rows.join(people, "_key").where(f"{near} and {enough} and {lengths} * {lengths} >= {reach}")
+    return pairs.select("p_no", "r_no").distinct()
 
 
 def fuzzy_pairs(
@@ -111,7 +113,8 @@ def fuzzy_pairs(
     # An accepted distance is below the threshold, so the cosine is above one minus it; the
     # margin covers rounding to 32 bits.
     pairs = candidates(people, rows, days, 1 - threshold - 1e-6)
-    met = pairs.join(rows.drop("block"), "p_no").join(people.drop("block"), "r_no")
+    near = f"abs(r_day - p_day) < {days}" if days > 0 else "r_day = p_day"
+    met = pairs.join(rows, "p_no").join(people, "r_no").where(f"p_block = r_block and {near}")
     names = [f"{side}_{n}" for side in "pr" for n in ("given", "family")] if parts else []
     close = met.selectExpr("p_no", PERSON, "abs(r_day - p_day) as _days", *names, f"{distance('p', 'r')} as _d_full")
     close = close.where(f"coalesce(_d_full < {threshold}D, false)")
