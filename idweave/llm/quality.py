@@ -1,7 +1,8 @@
 """Quality of documents, from their own text and from the sites they stand on.
 
 Method: hierarchical empirical Bayes. A classifier fitted on labelled texts gives every document evidence of
-its own. Its posteriors are summed over each path and each host in grouped aggregations; the rate of a host is shrunk
+its own: shares of words of certain shapes, and the mean log-ratio of its byte trigrams (hashed), whose rates in good and bad texts
+are learned. For fitting, that ratio is taken from the half of the sample a text is not in, or it would look better than it is. Its posteriors are summed over each path and each host in grouped aggregations; the rate of a host is shrunk
 toward the global rate and that of a path toward its host, by as much as a site is sparse. The strength of
 the shrinkage is estimated from the spread of the sites' rates (method of moments). A document's final log-odds are
 its own plus those by which its path differs from the global rate.
@@ -12,8 +13,8 @@ that adaptive execution can split, so a site may hold a third of all rows.
 
 Null and empty texts have the features of an empty text. A null host or path is a site of its own. Without
 labelled rows of both kinds nothing is known: the document evidence is that of the labelled share, 0.5 if there
-is none. Repeated rows count as often as they occur. An empty table gives an empty result; further columns stay, unless they
-have the names of the result's columns, which they then make way for.
+is none. Repeated rows count as often as they occur. An empty table gives an empty result; further columns stay, whatever their
+names, unless these are the names of the result's columns, which they then make way for. Very long texts are scored whole.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ PRIOR_RANGE = (10.0, 10_000.0)
 BLOCK = 32
 #: Up to so many sites their table (some 100 bytes a row) is sent to all executors; beyond, it is joined by a shuffle.
 BROADCAST_SITES = 100_000
+#: Trigrams are told apart by so many hash values.
+TRIGRAMS = 1 << 12
 RESULT = ("doc_quality", "site_quality", "quality", "keep")
 
 
@@ -79,7 +82,24 @@ def _shares(flag: np.ndarray, words: Words) -> list[np.ndarray]:
     return [whole, most]
 
 
-def features(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def trigrams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each byte trigram that lies in one row, and the row of each."""
+    start = np.arange(max(0, len(raw) - 2))
+    row = np.searchsorted(offsets, start, side="right") - 1
+    inside = start + 3 <= offsets[row + 1] if len(start) else np.zeros(0, bool)
+    code = raw.astype(np.uint32)
+    code = (code[:-2] << np.uint32(16) | code[1:-1] << np.uint32(8) | code[2:]) * np.uint32(0x9E3779B1) if len(start) else np.zeros(0, np.uint32)
+    return (code >> np.uint32(32 - 12)).astype(np.int64)[inside], row[inside]
+
+
+def trigram_ratio(raw: np.ndarray, offsets: np.ndarray, ratios: np.ndarray) -> np.ndarray:
+    """The mean log-ratio of each row's trigrams."""
+    code, row = trigrams(raw, offsets)
+    n = len(offsets) - 1
+    return np.bincount(row, ratios[code], minlength=n) / np.maximum(np.bincount(row, minlength=n), 1)
+
+
+def features(raw: np.ndarray, offsets: np.ndarray, ratios: np.ndarray) -> np.ndarray:
     """One row of numbers for each text of a chunk."""
     words = Words(raw, offsets)
     h, n = words.hashes(), np.diff(words.first)
@@ -104,40 +124,83 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     columns.append(np.log1p(n))
     columns.append((n < 5).astype(float))
     x = np.stack(columns, axis=1)
-    return np.hstack([x, np.sqrt(x[:, : 2 * len(flags)])])
+    return np.hstack([x, np.sqrt(x[:, : 2 * len(flags)]), trigram_ratio(raw, offsets, ratios)[:, None]])
+
+
+N_FEATURES = 8 * 2 * 2 + 4
 
 
-N_FEATURES = 8 * 2 * 2 + 3
+def _fold(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """0 or 1 for each text, by its bytes."""
+    total = np.concatenate([[0], np.cumsum(raw.astype(np.int64) * (1 + np.arange(len(raw)) % 251))])
+    shifted = total[offsets[1:]] - total[offsets[:-1]] + 7 * np.diff(offsets)
+    return (mix(shifted.astype(np.uint64), 3) & np.uint64(1)).astype(np.int64)
 
 
-def feature_column(text: Column) -> Column:
+def feature_column(text: Column, ratios: np.ndarray) -> Column:
+    """``ratios`` has one row, or one for each fold that a text may be in."""
+
     @F.arrow_udf("array<double>")
     def made(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
-            parts = [features(raw, offsets) for _, raw, offsets in chunks(pa.RecordBatch.from_arrays([column], ["text"]), "text")]
+            parts = []
+            for _, raw, offsets in chunks(pa.RecordBatch.from_arrays([column], ["text"]), "text"):
+                x = features(raw, offsets, ratios[0])
+                if len(ratios) > 1:
+                    x[:, -1] = np.where(_fold(raw, offsets) == 0, x[:, -1], trigram_ratio(raw, offsets, ratios[1]))
+                parts.append(x)
             x = np.concatenate(parts) if parts else np.zeros((0, N_FEATURES))
             yield pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * N_FEATURES), pa.array(x.ravel()))
 
     return made(text)
 
 
+def _trigram_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each fold and label that a task has: the number of texts, and the sum of their trigram shares."""
+    sums: dict[tuple[int, int], np.ndarray] = {}
+    for batch in batches:
+        for part, raw, offsets in chunks(batch, "text"):
+            code, row = trigrams(raw, offsets)
+            share = 1 / np.maximum(np.bincount(row, minlength=part.num_rows), 1)
+            fold, label = _fold(raw, offsets), part.column("label").to_numpy()
+            for key in set(zip(fold.tolist(), label.tolist(), strict=True)):
+                mine = (fold[row] == key[0]) & (label[row] == key[1])
+                total = sums.setdefault(key, np.zeros(TRIGRAMS))
+                total += np.bincount(code[mine], share[row[mine]], minlength=TRIGRAMS)
+    for (fold, label), total in sums.items():
+        yield pa.RecordBatch.from_arrays([pa.array([fold]), pa.array([label]), pa.array([total])], ["fold", "label", "shares"])
+
+
+def _ratios(sums: np.ndarray) -> np.ndarray:
+    """Log-ratio of each trigram between label 1 and the others, from summed shares by label."""
+    rate = (sums + 0.5 / TRIGRAMS) / (sums.sum(axis=1, keepdims=True) + 0.5)
+    return np.log(rate[1] / rate[0])
+
+
 @dataclass(frozen=True)
 class Model:
-    """Weights on standardised features, one column for each class."""
+    """Weights on standardised features, one column for each class; the log-ratio of each trigram."""
 
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
+    ratios: np.ndarray
 
 
 def fit(labelled: DataFrame, classes: int = 2) -> Model:
     """``labelled``: a bounded number of rows with ``text`` and an integer ``label`` below ``classes``."""
-    rows = labelled.select(feature_column(F.col("text")).alias("x"), F.col("label").cast("int").alias("label")).toArrow()
+    sample = Workspace(labelled.sparkSession).store(labelled.select("text", F.col("label").cast("int").alias("label")), "labelled")
+    sums = np.zeros((2, 2, TRIGRAMS))
+    # One row a task, fold and label, of a sample that is bounded.
+    for r in sample.mapInArrow(_trigram_sums, "fold long, label long, shares array<double>").collect():
+        sums[r["fold"], int(r["label"] == 1)] += r["shares"]
+    crossed = np.stack([_ratios(sums[1]), _ratios(sums[0])])
+    rows = sample.select(feature_column(F.col("text"), crossed).alias("x"), "label").toArrow()
     x = rows["x"].combine_chunks().flatten().to_numpy().reshape(-1, N_FEATURES)
     y = rows["label"].to_numpy()
     mean = x.mean(axis=0) if len(x) else np.zeros(N_FEATURES)
     scale = x.std(axis=0) + 1e-6 if len(x) else np.ones(N_FEATURES)
-    return Model(mean, scale, linear.fit_dense((x - mean) / scale, y, classes))
+    return Model(mean, scale, linear.fit_dense((x - mean) / scale, y, classes), _ratios(sums.sum(axis=0)))
 
 
 def posteriors(text: Column, model: Model) -> Column:
@@ -150,7 +213,7 @@ def posteriors(text: Column, model: Model) -> Column:
         for column in texts:
             out = []
             for _, raw, offsets in chunks(pa.RecordBatch.from_arrays([column], ["text"]), "text"):
-                x = (features(raw, offsets) - model.mean) / model.scale
+                x = (features(raw, offsets, model.ratios) - model.mean) / model.scale
                 out.append(linear.softmax(np.hstack([x, np.ones((len(x), 1))]) @ model.weights))
             p = np.concatenate(out) if out else np.zeros((0, classes))
             yield pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1, dtype=np.int32) * classes), pa.array(p.ravel()))
@@ -187,7 +250,7 @@ def score_quality(docs: DataFrame, model: Model, host: Column, path: Column, tex
     work = Workspace(docs.sparkSession)
     rest = [c for c in docs.columns if c not in RESULT]
     # The evidence is made twice, for the sums and for the result: that costs less than a stored copy of all texts.
-    narrow = docs.select(*rest, F.greatest(F.lit(1e-4), F.least(F.lit(1 - 1e-4), posteriors(F.col(text), model)[1])).alias("_p"), host.alias("_host"), path.alias("_path"))
+    narrow = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_row"), F.greatest(F.lit(1e-4), F.least(F.lit(1 - 1e-4), posteriors(F.col(text), model)[1])).alias("_p"), host.alias("_host"), path.alias("_path"))
     paths = narrow.groupBy("_host", "_path").agg(F.count(F.lit(1)).alias("n"), F.sum("_p").alias("s"))
     paths = work.store(paths, "paths")
     hosts = paths.groupBy("_host").agg(F.sum("n").alias("host_n"), F.sum("s").alias("host_s"))
@@ -206,7 +269,7 @@ def score_quality(docs: DataFrame, model: Model, host: Column, path: Column, tex
     final = _logit(p) + _logit(path_rate) - float(np.log(overall / (1 - overall)))
     scored = joined.withColumn("_site", path_rate).withColumn("_quality", 1 / (1 + F.exp(-final)))
     return scored.select(
-        *rest,
+        *[F.col(f"_row.`{c}`").alias(c) for c in rest],
         p.alias("doc_quality"),
         F.col("_site").alias("site_quality"),
         F.col("_quality").alias("quality"),
