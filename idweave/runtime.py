@@ -47,6 +47,11 @@ class Workspace:
         for name in names:
             self._delete(f"{self.path}/{name}")
 
+    def clean(self) -> None:
+        """Ask the driver's JVM for a collection: Spark removes the shuffle files of steps that nothing refers to any
+        more, as those behind stored tables, only when the driver has collected its garbage. For jobs that move much."""
+        self.spark._jvm.System.gc()
+
     def release(self) -> None:
         """Drop all tables."""
         self._delete(self.path)
