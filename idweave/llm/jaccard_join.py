@@ -253,6 +253,7 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
     same = Window.partitionBy("tile")
     shared = tiles.withColumns({"lo": F.min("class").over(same), "hi": F.max("class").over(same)}).where("lo < hi")
     shared = work.store(shared.distinct(), "tiles")
+    work.clean()
     pair = lambda x, y: F.struct(F.greatest(x, y).alias("a"), F.least(x, y).alias("b"))
     hubs = shared.select(F.explode(F.array(pair("class", "lo"), pair("class", "hi"))).alias("p")).select("p.*").where("a <> b").distinct()
     hubs = work.store(hubs, "hubs")
@@ -271,7 +272,10 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
         side = lambda x: signed.select(F.col("class").alias(x), F.col("grams").alias(f"grams_{x}"))
         return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_decided(join), "a long, b long")
 
+    work.drop("wanted")
+    work.clean()
     links = work.store(decided(hubs, False), "links")
+    work.clean()
     groups = work.store(connected(links, work, "first"), "groups")
 
     # Tiles that still hold more than one component, in blocks.
@@ -281,6 +285,8 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
     number = F.row_number().over(same.orderBy("class")) - 1
     rest = open_tiles.withColumn("block", F.floor(number / BLOCK))
     rest = work.store(rest.select("tile", "class", "component", "block"), "open")
+    work.drop("tiles")
+    work.clean()
     last = rest.groupBy("tile").agg(F.max("block").alias("last"), F.count(F.lit(1)).alias("rows"))
     small = last.where("rows = 2").select("tile")
     pairs_of_two = rest.join(small, "tile", "left_semi").groupBy("tile").agg(F.max("class").alias("a"), F.min("class").alias("b"))
@@ -293,9 +299,15 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
     compared = left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(_compare_blocks(join), "a long, b long")
     untried = pairs_of_two.select("a", "b").distinct().join(hubs, ["a", "b"], "left_anti")
     passed = work.store(compared.distinct().join(hubs, ["a", "b"], "left_anti"), "passed")
+    work.drop("left", "right")
+    work.clean()
     late = work.store(decided(untried, False).unionByName(decided(passed, True)), "late")
+    work.drop("signatures", "hubs", "open", "passed")
+    work.clean()
     if not late.isEmpty():
         groups = work.store(connected(links.unionByName(late), work, "second"), "all-groups")
+        work.drop("groups")
+    work.drop("links", "late")
 
     # Classes to components, components to their least document.
     placed = members.join(groups.withColumnRenamed("node", "class"), "class", "left")

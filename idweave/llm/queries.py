@@ -17,6 +17,7 @@ from idweave.llm import (
     linear,
     merkle,
     mixing,
+    oracles,
     quality,
     substring_dedup,
     suffix_dedup,
@@ -199,4 +200,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where it can express a query; the others are tested in ``tests/llm``."""
+    return oracles.all_sql()

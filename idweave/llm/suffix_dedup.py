@@ -345,6 +345,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     live = work.store(live, "live")
     near = runs.where("not certain").join(live, "kappa").groupBy("doc_id", "part")
     near = work.store(near.agg(F.collect_list(F.struct("start", "end", "kappa")).alias("suffixes")), "near")
+    work.clean()
     at_hand = rows.meet(known, near).where("suffixes is not null").select("doc_id", "part", "text", "suffixes")
 
     n_suffixes, n_bytes = near.select(F.explode("suffixes").alias("s")).agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("s.end") - F.col("s.start") + window), F.lit(0))).first()
@@ -359,6 +360,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         limits = sorted({drawn[len(drawn) * i // ranges] for i in range(1, ranges)}) if drawn else []
     blocks = at_hand.mapInArrow(_sorted_runs(window, limits), BLOCKS)
     ordered = work.store(blocks.groupBy("range").applyInArrow(_combined(window), RESULT), "ordered")
+    work.drop("near", "live")
+    work.clean()
 
     # What the order leaves open.
     open_keys = work.store(ordered.where("chosen and until < end").select("kappa").distinct(), "open")
@@ -367,8 +370,12 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     windows = rows.meet(known, partners).where("open is not null").select("doc_id", "part", "text", "open")
     windows = windows.mapInArrow(_open_windows(window), "fingerprint long, doc_id long, part int, at int, undecided boolean")
     windows = work.store(windows, "windows")
+    work.drop("partners", "open")
+    work.clean()
     twice = windows.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fingerprint")
-    late = windows.where("undecided").join(work.store(twice, "twice"), "fingerprint")
+    twice = work.store(twice, "twice")
+    work.clean()
+    late = windows.where("undecided").join(twice, "fingerprint").select("doc_id", "part", "at")
 
     span = lambda lo, hi: F.struct(F.col(lo).alias("lo"), F.col(hi).alias("hi"))
     spans = (
@@ -376,7 +383,10 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .unionByName(runs.where("certain").select("doc_id", "part", span("start", "end").alias("s")))
         .unionByName(late.select("doc_id", "part", span("at", "at").alias("s")))
     )
-    return work.store(spans.groupBy("doc_id", "part").agg(F.collect_list("s").alias("spans")), "repeated")
+    found = work.store(spans.groupBy("doc_id", "part").agg(F.collect_list("s").alias("spans")), "repeated")
+    work.drop("runs", "ordered", "windows", "twice", "sample")
+    work.clean()
+    return found
 
 
 def _cut(window: int, carry: tuple[str, ...]):

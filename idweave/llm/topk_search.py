@@ -10,7 +10,9 @@ the k smallest ids, so that many equal vectors cost nothing. Scores are exact in
 A vector that is null, empty, or holds null or non-finite components takes no part. Rows with the id of a query
 are no candidates of it; of rows that repeat a query's id the smallest vector is the query, all rows
 are candidates of other queries. Vectors of another length than the query score by their common length.
-Null ids take no part. An empty table gives an empty result.
+Null ids take no part. An empty table gives an empty result. Scores that may reach 2**53 are made in whole numbers; an error
+is raised where they could reach 2**62. Very long vectors are held whole, a cell of them at a time. Further columns are
+left alone, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ BINS = 512
 SCALE = 256
 #: Scores made at once within a cell.
 TILE = 1 << 21
+#: Marks the query itself; below any score.
+NONE = np.iinfo(np.int64).min
 
 
 def quantized(vector: Column) -> Column:
@@ -51,22 +55,25 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
-def _scores(vectors: pa.Table, queries: pa.Table) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
-    """Rows of queries, with their scores against all vectors of the cell and the vectors' ids. Sums stay below
-    2**53, so floating point is exact."""
+def _scores(vectors: pa.Table, queries: pa.Table, large: bool) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Rows of queries, with their scores against all vectors of the cell and the vectors' ids.
+
+    Sums that stay below 2**53 are exact in floating point; ``large`` ones are made in whole numbers."""
     width = max(max(pa.compute.list_value_length(t["v"]).to_pylist()) for t in (vectors, queries))
     ids = vectors["id"].to_numpy()
     order = np.argsort(ids, kind="stable")
     v, ids = _matrix(vectors["v"], width)[order], ids[order]
     q, own = _matrix(queries["v"], width), queries["id"].to_numpy()
+    if large:
+        v, q = v.astype(np.int64), q.astype(np.int64)
     step = max(1, TILE // len(ids))
     for at in range(0, len(q), step):
         part = slice(at, min(len(q), at + step))
-        s = q[part] @ v.T
+        s = (q[part] @ v.T).astype(np.int64)
         lo = np.searchsorted(ids, own[part], side="left")
         hi = np.searchsorted(ids, own[part], side="right")
         for i in np.flatnonzero(hi > lo):
-            s[i, lo[i] : hi[i]] = -np.inf
+            s[i, lo[i] : hi[i]] = NONE
         yield part, s, ids
 
 
@@ -76,18 +83,17 @@ def _kth(s: np.ndarray, k: int) -> np.ndarray:
     return np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
 
 
-def _counts(k: int):
+def _counts(k: int, large: bool):
     def cell(vectors: pa.Table, queries: pa.Table) -> pa.Table:
         ids, bins, n = [], [], []
         if vectors.num_rows and queries.num_rows:
             lo, width = queries["lo"].to_numpy(), queries["width"].to_numpy()
             own = queries["id"].to_numpy()
-            for part, s, _ in _scores(vectors, queries):
+            for part, s, _ in _scores(vectors, queries, large):
                 floor = np.maximum(_kth(s, k), lo[part])
-                floor = np.where(np.isfinite(floor), floor, lo[part])
                 first = lo[part] + (floor - lo[part]) // width[part] * width[part]
-                r, c = np.nonzero((s >= first[:, None]) & np.isfinite(s))
-                b = ((s[r, c] - lo[part][r]) // width[part][r]).astype(np.int64)
+                r, c = np.nonzero(s >= first[:, None])
+                b = (s[r, c] - lo[part][r]) // width[part][r]
                 key, count = np.unique(r * np.int64(1 << 40) + np.minimum(b, (1 << 40) - 1), return_counts=True)
                 ids.append(own[part][key >> 40])
                 bins.append(key & ((1 << 40) - 1))
@@ -98,17 +104,17 @@ def _counts(k: int):
     return cell
 
 
-def _best(k: int):
+def _best(k: int, large: bool):
     def cell(vectors: pa.Table, queries: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if vectors.num_rows and queries.num_rows:
             least, own = queries["lo"].to_numpy(), queries["id"].to_numpy()
-            for part, s, ids in _scores(vectors, queries):
+            for part, s, ids in _scores(vectors, queries, large):
                 floor = np.maximum(_kth(s, k), least[part])
                 for i in np.flatnonzero(s.max(axis=1) >= floor):
-                    at = np.flatnonzero((s[i] >= floor[i]) & np.isfinite(s[i]))
+                    at = np.flatnonzero(s[i] >= floor[i])
                     at = at[np.argsort(-s[i, at], kind="stable")][:k]  # ids ascend, so ties keep the smaller
-                    out.append((np.full(len(at), own[part][i]), ids[at], s[i, at].astype(np.int64)))
+                    out.append((np.full(len(at), own[part][i]), ids[at], s[i, at]))
         cat = lambda j: np.concatenate([x[j] for x in out]) if out else np.zeros(0, np.int64)
         return pa.table({"query_id": cat(0), "vec_id": cat(1), "score": cat(2)})
 
@@ -126,7 +132,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id: str = "vec_id",
     n, n_queries, far = rows.agg(F.count(F.lit(1)), F.count_if("q"), F.max(norm)).first()
     blocks = max(1, math.ceil(n / VECTOR_BLOCK))
     query_blocks = max(1, math.ceil(n_queries / QUERY_BLOCK))
-    reach = math.ceil(far or 0) + 1  # no score is larger or smaller than this
+    reach = math.ceil((far or 0) * (1 + 1e-9)) + 1  # no score is larger or smaller than this
+    if reach >= 1 << 62:
+        raise ValueError("scores could reach 2**62: scale the vectors down")
+    large = reach >= 1 << 53
     deal = lambda c, salt, of: F.pmod(F.xxhash64(c, F.lit(salt)), F.lit(of))
     dealt = rows.withColumn("vb", deal(F.monotonically_increasing_id(), 1, blocks).cast("int"))
     dealt = dealt.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))).select("qb", "vb", "id", "v")
@@ -139,11 +148,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id: str = "vec_id",
         return dealt.groupBy("qb", "vb").cogroup(asked.groupBy("qb", "vb")).applyInArrow(function, schema)
 
     width = max(1, math.ceil((2 * reach + 1) / BINS))
-    bounds = queries.withColumns({"lo": F.lit(float(-reach)), "width": F.lit(float(width))})
+    bounds = queries.withColumns({"lo": F.lit(-reach).cast("long"), "width": F.lit(width).cast("long")})
     down = Window.partitionBy("query_id").orderBy(F.desc("bin"))
     step = 0
     while True:
-        counts = cells(bounds, _counts(k), "query_id long, bin long, n long")
+        counts = cells(bounds, _counts(k, large), "query_id long, bin long, n long")
         summed = counts.groupBy("query_id", "bin").agg(F.sum("n").alias("n"))
         # The first bin from above that brings the count to k; the last of all if none does.
         found = summed.withColumn("upto", F.sum("n").over(down)).groupBy("query_id").agg(
@@ -151,13 +160,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id: str = "vec_id",
         )
         narrower = max(1, math.ceil(width / BINS))
         bounds = bounds.join(found.withColumnRenamed("query_id", "id"), "id").select(
-            "id", "v", "qb", (F.col("lo") + F.col("bin") * F.col("width")).alias("lo"), F.lit(float(narrower)).alias("width")
+            "id", "v", "qb", (F.col("lo") + F.col("bin") * F.col("width")).alias("lo"), F.lit(narrower).cast("long").alias("width")
         )
         bounds = work.store(bounds, f"bounds{step}")
         step += 1
         if width == 1:
             break
         width = narrower
-    kept = cells(bounds.drop("width"), _best(k), "query_id long, vec_id long, score long")
+    kept = cells(bounds.drop("width"), _best(k, large), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return kept.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

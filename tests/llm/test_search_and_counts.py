@@ -39,6 +39,19 @@ def test_top_k_equals_all_pairs(spark, k, monkeypatch):
     assert got == best(rows, k, lambda i: i % 50 == 0)
 
 
+def test_top_k_of_large_scores(spark):
+    """Above 2**53, where floating point would round."""
+    rng = random.Random(4)
+    rows = [(i, [float(rng.randrange(-(10**6), 10**6)) for _ in range(4)]) for i in range(120)] + [(200, [1e6, 1e6, 1e6, 1e6])]
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS)
+    got = {}
+    for r in topk_search.top_k(frame, F.col("vec_id") % 50 == 0, k=5).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert got == best(rows, 5, lambda i: i % 50 == 0) and max(s for f in got.values() for _, s in f) > 2**53
+    with pytest.raises(ValueError, match="scale"):
+        topk_search.top_k(spark.createDataFrame([(0, [3e9], 0), (1, [3e9], 0)], VECTORS), F.col("vec_id") == 0)
+
+
 def test_top_k_of_nothing_and_of_repeated_ids(spark):
     empty = spark.createDataFrame([], VECTORS)
     assert topk_search.top_k(empty, F.col("vec_id") % 50 == 0).count() == 0
