@@ -1,11 +1,13 @@
 """Texts of an Arrow batch as one byte array, with hashes of any of its ranges.
 
 The hash of bytes ``b[s:e]`` is ``sum(b[i] * B**(i - s))`` modulo 2**64 over an odd base. Prefix sums
-give it for any range with two look-ups. All hashes are the same on every machine and in every task.
+give it for any range with two look-ups. All hashes are the same on every machine and in every task. Modulo a power of two,
+such sums have known collisions between sequences of two symbols from about a thousand on, so long words get a hash of another kind.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,6 +18,8 @@ BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Texts are worked on in groups of about so many bytes; one longer text is a group of its own.
 CHUNK = 1 << 19
+#: Words of so many bytes and more are hashed one by one.
+LONG_WORD = 256
 
 #: Word separators: blank and the control characters 9 to 13.
 SEPARATOR = np.zeros(256, bool)
@@ -118,7 +122,11 @@ class Words:
         self.first = np.searchsorted(self.start, offsets)
 
     def hashes(self) -> np.ndarray:
-        return Ranges(self.raw).hash(self.start, self.end)
+        out = Ranges(self.raw).hash(self.start, self.end)
+        for i in np.flatnonzero(self.end - self.start >= LONG_WORD):
+            word = self.raw[self.start[i] : self.end[i]].tobytes()
+            out[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return out
 
 
 def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:

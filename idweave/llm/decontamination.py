@@ -10,8 +10,9 @@ are verified by exact containment of the item's distinct shingles in the whole d
 Shingles are five words in lower case, without punctuation. Items with fewer words are one shingle, which only a
 document of just these words has; items and documents without words match nothing (null: none).
 
-What goes from the items to all tasks are two bitmaps of fixed size, however many items there are. The joins are on
-hashes, from which only hits remain; sums are folded before they are shuffled. Rows that share a doc_id are one document, rows
+What goes from the items to all tasks are two bitmaps of fixed size, however many items there are. Documents meet items by
+keys first; a shingle that very many documents and items have is looked up for candidates only. Sums are folded before they
+are shuffled. Very long texts are read whole. Further columns are left alone, whatever their names. Rows that share a doc_id are one document, rows
 without doc_id or item_id match nothing and are kept. Repeated items and rows give each pair once. Empty tables give empty results.
 """
 
@@ -136,11 +137,13 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) ->
     scan = _hits(classes, _bitmap(item_keys), _bitmap(item_shingles))
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     hits = work.store(read.mapInArrow(scan, "doc_id long, is_key boolean, value long"), "hits")
-    candidates = hits.where("is_key").join(item_keys, "value").select("doc_id", "item_id").distinct()
-    shared = hits.where("not is_key").select("doc_id", "value").distinct().join(item_shingles, "value")
-    shared = shared.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_shared"))
+    candidates = work.store(hits.where("is_key").join(item_keys, "value").select("doc_id", "item_id").distinct(), "candidates")
+    # Only candidates are verified: the item's shingles, each looked up in the document.
+    asked = candidates.join(item_shingles, "item_id")
+    met = asked.join(hits.where("not is_key").select("doc_id", "value"), ["doc_id", "value"], "left_semi")
+    shared = met.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_shared"))
     contained = shared.join(sizes, "item_id").where(F.col("n_shared") >= threshold * F.col("n_shingles"))
-    return contained.join(candidates, ["doc_id", "item_id"], "left_semi").select("doc_id", "item_id", "n_shared", "n_shingles")
+    return contained.select("doc_id", "item_id", "n_shared", "n_shingles")
 
 
 def without(docs: DataFrame, ids: DataFrame, id: str = "doc_id") -> DataFrame:

@@ -63,6 +63,16 @@ def test_components_equal_all_pairs(spark, docs, n, percent, monkeypatch):
     assert got == components(pairs, join)
 
 
+def test_long_words_without_a_common_place(docs):
+    """The two words that differ in every letter, and that a polynomial hash modulo a power of two can't tell apart."""
+    word = "".join("ab"[i.bit_count() % 2] for i in range(2048))
+    other = word.translate(str.maketrans("ab", "ba"))
+    pairs = [(0, word), (1, other), (2, " ".join([word, *"xy"] * 20)), (3, " ".join([other, *"xy"] * 20))]
+    found = {r["doc_id"]: r["component_id"] for r in jaccard_join.near_duplicates(docs(pairs), jaccard_join.Join(n=3, percent=90)).collect()}
+    assert found == {i: i for i in range(4)}
+    assert {r["doc_id"]: r["spans"] for r in substring_dedup.deduplicated(docs(pairs)).collect()} == {i: [] for i in range(4)}
+
+
 def test_join_of_nulls_repeats_and_nothing(docs):
     near = lambda pairs: sorted(map(tuple, jaccard_join.near_duplicates(docs(pairs)).collect()), key=str)
     assert near([]) == []
@@ -191,6 +201,19 @@ def test_leaks_equal_brute_force(spark, docs):
     assert decontamination.matches(docs([]), table).count() == 0 == decontamination.matches(docs(pairs), table.limit(0)).count()
 
 
+def test_common_lead_in_is_verified_for_candidates_only(spark, docs):
+    """Documents and items that all begin alike: a shingle they share does not make a pair."""
+    rng = random.Random(6)
+    lead = "all of them begin with these same words"
+    items = [(i, f"{lead} {sentence(rng, 60, 10**6)}") for i in range(60)]
+    pairs = [(i, f"{lead} {sentence(rng, 300, 10**6)}") for i in range(60)] + [(100 + i, f"x y z {items[i][1]} {lead}") for i in range(5)]
+    found = decontamination.matches(docs(pairs), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r["doc_id"], r["item_id"]) for r in found.collect()) == [(100 + i, i) for i in range(5)]
+    # What is verified is bounded by the candidates and their shingles.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("item_id") < plan.index("LeftSemi")
+
+
 def test_rows_that_share_an_id_are_numbered(docs):
     made = rows.numbered(docs([(1, "b"), (1, "a"), (2, None)]), carry=("lang", "text")).orderBy("doc_id", "part").collect()
     assert [(r["doc_id"], r["part"], r["text"]) for r in made] == [(1, 0, "a"), (1, 1, "b"), (2, 0, None)]
