@@ -82,21 +82,30 @@ def _shares(flag: np.ndarray, words: Words) -> list[np.ndarray]:
     return [whole, most]
 
 
-def trigrams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of each byte trigram that lies in one row, and the row of each."""
-    start = np.arange(max(0, len(raw) - 2))
-    row = np.searchsorted(offsets, start, side="right") - 1
-    inside = start + 3 <= offsets[row + 1] if len(start) else np.zeros(0, bool)
-    code = raw.astype(np.uint32)
-    code = (code[:-2] << np.uint32(16) | code[1:-1] << np.uint32(8) | code[2:]) * np.uint32(0x9E3779B1) if len(start) else np.zeros(0, np.uint32)
-    return (code >> np.uint32(32 - 12)).astype(np.int64)[inside], row[inside]
+def _codes(raw: np.ndarray) -> np.ndarray:
+    """The hash of the trigram that starts at each byte but the last two."""
+    wide = raw.astype(np.uint16)
+    code = wide[:-2] * np.uint16(40503)
+    code += wide[1:-1] * np.uint16(30011)
+    code ^= code >> np.uint16(7)
+    code += wide[2:] * np.uint16(52711)
+    code >>= np.uint16(16 - 12)
+    return code
+
+
+def trigrams(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row that has a byte trigram, and how often it has each hash."""
+    code = _codes(raw)
+    for i in np.flatnonzero(np.diff(offsets) > 2):
+        yield i, np.bincount(code[offsets[i] : offsets[i + 1] - 2], minlength=TRIGRAMS)
 
 
 def trigram_ratio(raw: np.ndarray, offsets: np.ndarray, ratios: np.ndarray) -> np.ndarray:
-    """The mean log-ratio of each row's trigrams."""
-    code, row = trigrams(raw, offsets)
-    n = len(offsets) - 1
-    return np.bincount(row, ratios[code], minlength=n) / np.maximum(np.bincount(row, minlength=n), 1)
+    """The mean log-ratio of each row's trigrams; 0 without any."""
+    out = np.zeros(len(offsets) - 1)
+    for i, counts in trigrams(raw, offsets):
+        out[i] = counts @ ratios / (offsets[i + 1] - offsets[i] - 2)
+    return out
 
 
 def features(raw: np.ndarray, offsets: np.ndarray, ratios: np.ndarray) -> np.ndarray:
@@ -160,13 +169,10 @@ def _trigram_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     sums: dict[tuple[int, int], np.ndarray] = {}
     for batch in batches:
         for part, raw, offsets in chunks(batch, "text"):
-            code, row = trigrams(raw, offsets)
-            share = 1 / np.maximum(np.bincount(row, minlength=part.num_rows), 1)
             fold, label = _fold(raw, offsets), part.column("label").to_numpy()
-            for key in set(zip(fold.tolist(), label.tolist(), strict=True)):
-                mine = (fold[row] == key[0]) & (label[row] == key[1])
-                total = sums.setdefault(key, np.zeros(TRIGRAMS))
-                total += np.bincount(code[mine], share[row[mine]], minlength=TRIGRAMS)
+            for i, counts in trigrams(raw, offsets):
+                total = sums.setdefault((int(fold[i]), int(label[i])), np.zeros(TRIGRAMS))
+                total += counts / counts.sum()
     for (fold, label), total in sums.items():
         yield pa.RecordBatch.from_arrays([pa.array([fold]), pa.array([label]), pa.array([total])], ["fold", "label", "shares"])
 
