@@ -145,7 +145,8 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = token_count.load_vocabulary(TOKENIZER)
+    # No public unigram vocabulary is at hand, and none may be trained: the pieces and scores of this one serve as one.
+    vocabulary = token_count.load_vocabulary(TOKENIZER, as_unigram=True)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_count.with_token_counts(docs, vocabulary).select("doc_id", "token_count.n_tokens", "token_count.score")
 

@@ -11,7 +11,7 @@ Texts are cut where no piece can reach across (before a blank's mark, at line en
 count of a unit is found once and kept in a bounded memory of each worker. The cut changes no path.
 
 Null and empty texts have 0 tokens and score 0. Rows are independent: repeated rows give repeated
-results, an empty table an empty one, further columns stay as they are.
+results, an empty table an empty one, further columns stay as they are. Very long texts are counted whole, unit by unit.
 """
 
 from __future__ import annotations
@@ -46,9 +46,13 @@ class Vocabulary:
             raise ValueError(f"a vocabulary has 1 to {MAX_PIECES} pieces")
 
 
-def load_vocabulary(path: str) -> Vocabulary:
+def load_vocabulary(path: str, as_unigram: bool = False) -> Vocabulary:
     """Reads a SentencePiece model (its normal and user-defined pieces with their scores) or a
-    tokenizers JSON file with a unigram model."""
+    tokenizers JSON file with a unigram model.
+
+    A model of another kind is refused. With ``as_unigram`` the pieces and scores of a SentencePiece model of another kind
+    make a unigram vocabulary (the scores of a BPE model are its merge ranks): the counts are then those of that vocabulary, and
+    not those of the model's own way of splitting."""
     if path.endswith(".json"):
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
@@ -61,9 +65,11 @@ def load_vocabulary(path: str) -> Vocabulary:
     model = sentencepiece_model_pb2.ModelProto()
     with open(path, "rb") as f:
         model.ParseFromString(f.read())
+    spec = model.trainer_spec
+    if spec.model_type != sentencepiece_model_pb2.TrainerSpec.UNIGRAM and not as_unigram:
+        raise ValueError("not a unigram model")
     kinds = sentencepiece_model_pb2.ModelProto.SentencePiece
     pieces = [(p.piece, float(p.score)) for p in model.pieces if p.type in (kinds.NORMAL, kinds.USER_DEFINED)]
-    spec = model.trainer_spec
     return Vocabulary(tuple(pieces), spec.byte_fallback, model.normalizer_spec.add_dummy_prefix)
 
 

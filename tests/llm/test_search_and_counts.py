@@ -1,12 +1,15 @@
 """Top-k search, token counts, chat windows, mixing against plain definitions."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from idweave.llm import chat_format, mixing, token_count, topk_search
+from idweave.llm import chat_format, mixing, queries, token_count, topk_search
+
+DATA = "/root/testdata/sf0.001"
 
 VECTORS = "vec_id long, embedding array<float>, label int"
 
@@ -79,6 +82,21 @@ def test_counts_equal_the_tokenizer(spark, fallback):
     assert got == [len(tokenizer.encode("▁" + t.replace(" ", "▁")).ids) if t else 0 for t in texts]
 
 
+@pytest.mark.skipif(not Path(queries.TOKENIZER).exists() or not Path(DATA).exists(), reason="vocabulary or tables not present")
+def test_counts_of_all_documents_equal_the_public_library(spark):
+    from tokenizers import Tokenizer, models
+
+    with pytest.raises(ValueError, match="unigram"):
+        token_count.load_vocabulary(queries.TOKENIZER)
+    vocabulary = token_count.load_vocabulary(queries.TOKENIZER, as_unigram=True)
+    pieces = [("<unk>", 0.0), *vocabulary.pieces, *[(f"<0x{i:02X}>", 0.0) for i in range(256)]]
+    # The bytes are there for the fallback only; the score of unknown characters hangs on the lowest of the pieces.
+    tokenizer = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=True))
+    texts = dict(spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect())
+    got = dict(queries.op10_token_count(spark, DATA).select("doc_id", "n_tokens").collect())
+    assert got == {i: len(tokenizer.encode("▁" + t.replace(" ", "▁")).ids) if t else 0 for i, t in texts.items()}
+
+
 def test_counts_without_cuts_are_the_same():
     plain = token_count.Counter(token_count.Vocabulary(PIECES, True))
     whole = token_count.Counter(token_count.Vocabulary((*PIECES, ("b▁c", -90.0)), True))
