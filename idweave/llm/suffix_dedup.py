@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from idweave.llm import rows
 from idweave.llm.arrays import Ranges, chunks, mix, text_bytes
 from idweave.llm.substring_dedup import sliding_min
+from idweave.operators.keyfilter import key_bitmap, maybe_among
 from idweave.runtime import Workspace
 
 WINDOW = 400
@@ -375,7 +376,9 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     twice = windows.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fingerprint")
     twice = work.store(twice, "twice")
     work.clean()
-    late = windows.where("undecided").join(twice, "fingerprint").select("doc_id", "part", "at")
+    # Most windows stand alone; a bitmap keeps them from being shuffled a second time.
+    maybe = maybe_among(windows.where("undecided"), ["fingerprint"], key_bitmap(twice, ["fingerprint"]))
+    late = maybe.join(twice, "fingerprint").select("doc_id", "part", "at")
 
     span = lambda lo, hi: F.struct(F.col(lo).alias("lo"), F.col(hi).alias("hi"))
     spans = (
