@@ -33,6 +33,7 @@ from pyspark.sql.window import Window
 from idweave.llm import rows
 from idweave.llm.arrays import Words, chunks, mix, shingles
 from idweave.llm.components import connected
+from idweave.operators.keyfilter import key_bitmap, maybe_among
 from idweave.runtime import Workspace
 
 #: Rows of a block of a tile; a task compares two blocks at a time.
@@ -264,18 +265,26 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
     signed = known.join(wanted, "doc_id").mapInArrow(_signatures(join), "class long, size long, bits binary, grams binary")
     signed = work.store(signed, "signatures")
 
-    def decided(pairs: DataFrame, bounded: bool) -> DataFrame:
-        """Of pairs ``a, b`` those that link."""
+    def met(pairs: DataFrame, column: str) -> DataFrame:
+        """Stored ``pairs`` beside a column of both signatures. Only signatures that stand in a pair are shuffled."""
+        classes = pairs.select(F.explode(F.array("a", "b")).alias("class"))
+        some = maybe_among(signed.select("class", "size", column), ["class"], key_bitmap(classes, ["class"]))
+        side = lambda x: some.select(F.col("class").alias(x), F.col("size").alias(f"size_{x}"), F.col(column).alias(f"{column}_{x}"))
+        return pairs.join(side("a"), "a").join(side("b"), "b")
+
+    def decided(pairs: DataFrame, bounded: bool, name: str) -> DataFrame:
+        """Of stored pairs ``a, b`` those that link, stored."""
         if not bounded:
-            side = lambda x: signed.select(F.col("class").alias(x), F.col("size").alias(f"size_{x}"), F.col("bits").alias(f"bits_{x}"))
-            pairs = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_bounded(join), "a long, b long")
-        side = lambda x: signed.select(F.col("class").alias(x), F.col("grams").alias(f"grams_{x}"))
-        return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_decided(join), "a long, b long")
+            pairs = work.store(met(pairs, "bits").mapInArrow(_bounded(join), "a long, b long"), f"{name}-bounded")
+            work.clean()
+        out = work.store(met(pairs, "grams").mapInArrow(_decided(join), "a long, b long"), name)
+        work.drop(f"{name}-bounded")
+        work.clean()
+        return out
 
     work.drop("wanted")
     work.clean()
-    links = work.store(decided(hubs, False), "links")
-    work.clean()
+    links = decided(hubs, False, "links")
     groups = work.store(connected(links, work, "first"), "groups")
 
     # Tiles that still hold more than one component, in blocks.
@@ -297,17 +306,17 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
     columns = [*key, "class", "component", "size", "bits"]
     left, right = (work.store(x.select(columns), name) for x, name in ((left, "left"), (right, "right")))
     compared = left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(_compare_blocks(join), "a long, b long")
-    untried = pairs_of_two.select("a", "b").distinct().join(hubs, ["a", "b"], "left_anti")
     passed = work.store(compared.distinct().join(hubs, ["a", "b"], "left_anti"), "passed")
     work.drop("left", "right")
     work.clean()
-    late = work.store(decided(untried, False).unionByName(decided(passed, True)), "late")
-    work.drop("signatures", "hubs", "open", "passed")
+    untried = work.store(pairs_of_two.select("a", "b").distinct().join(hubs, ["a", "b"], "left_anti"), "untried")
     work.clean()
+    late = decided(untried, False, "late").unionByName(decided(passed, True, "late-passed"))
+    work.drop("signatures", "hubs", "open", "passed", "untried")
     if not late.isEmpty():
         groups = work.store(connected(links.unionByName(late), work, "second"), "all-groups")
         work.drop("groups")
-    work.drop("links", "late")
+    work.drop("links", "late", "late-passed")
 
     # Classes to components, components to their least document.
     placed = members.join(groups.withColumnRenamed("node", "class"), "class", "left")
