@@ -2,10 +2,11 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import model
 from conftest import rows
-from idweave.operators.fuzzy import fuzzy_block, fuzzy_match, used_once
+from idweave.operators.fuzzy import candidates, fuzzy_block, fuzzy_match, fuzzy_pairs, used_once
 from idweave.spec import FUZZY_RULES
 
 REG = "p_idr string, p_nombres string, p_apellidos string, p_nombres_apellidos string, p_sexo string, p_fecha_nac date"
@@ -87,6 +88,34 @@ def test_used_once(spark):
     assert rows(used_once(df), "p_idr", "p_idp") == [("2", "c")]
 
 
+def profiles(spark, side, names, more=()):
+    from idweave.operators.fuzzy import _profiles
+    from idweave.spec import FuzzyRule
+
+    table = spark.createDataFrame([(n, n, n, "1") for n in names], "p_nombres string, p_apellidos string, p_nombres_apellidos string, p_sexo string")
+    return _profiles(table.withColumn("p_idr", F.col("p_nombres")), side, FuzzyRule("r", date=None), (), more)
+
+
+def test_candidates_are_close(spark):
+    """Names that share grams, even the first ones, are no candidates when most of their grams differ; those that are
+    close stay, repeats of a gram included."""
+    people = ["AB CDEFGHIJKLMNOPQRSTUVWX", "ABABABABAB XY"]
+    asked = ["AB YZXWVUTSRQPONMLKJIHGFED", "AB CDEFGHIJKLMNOPQRSTUVWXY", "ABABABABABAB XY"]
+    people, asked = (profiles(spark, side, names) for side, names in (("r", people), ("p", asked)))
+    found = candidates(people, asked, 0, 0.8).join(asked, "p_no").join(people, "r_no")
+    assert rows(found, "p_full", "r_full") == [
+        ("AB CDEFGHIJKLMNOPQRSTUVWXY", "AB CDEFGHIJKLMNOPQRSTUVWX"),
+        ("ABABABABABAB XY", "ABABABABAB XY"),
+    ]
+
+
+def test_unfolded_profiles_are_not_broadcast(spark):
+    """Small files may unfold into rows that no driver holds."""
+    people, asked = (profiles(spark, side, ["ANA MARIA PAZ", "LUIS VERA"], more) for side, more in (("r", ["p_idr"]), ("p", [])))
+    plan = fuzzy_pairs(people, asked, 0, False)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_unlike_blocks_are_refused(spark):
     from idweave.spec import FuzzyRule
 
