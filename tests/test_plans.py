@@ -11,6 +11,7 @@ from conftest import rows
 from idweave.operators.cascade import _unfold_keys, assign_rules, matched_pairs, without_people
 from idweave.operators.fuzzy import fuzzy_match, used_once
 from idweave.operators.joins import left_lookup
+from idweave.operators.rowid import with_row_id
 from idweave.operators.uniqueness import at_stage, compact, staged_registry, unique_on
 from idweave.operators.validate import best_candidate
 from idweave.runtime import Workspace
@@ -106,6 +107,14 @@ def test_hot_key_is_split(spark, conf):
         assert "skew=true" in plan(left)
 
 
+def test_chunks_of_copies_stay_apart(spark):
+    """A few rows with very many copies are unfolded by several tasks, though they are few bytes before."""
+    ids = with_row_id(spark.range(40_000).selectExpr("concat('k', id % 2) as id_hash"))
+    tasks = ids.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.countDistinct("p_idp").alias("ids")).collect()
+    assert sum(r.n for r in tasks) == sum(r.ids for r in tasks) == 40_000
+    assert len(tasks) == 4 and max(r.n for r in tasks) < 20_000
+
+
 def test_null_keys_are_spread(spark, conf):
     left = spark.range(1000).selectExpr("concat('p', id) p_idp", "if(id < 10, cast(id as string), null) k")
     right = spark.range(20).selectExpr("cast(id as string) k", "id v").unionByName(
