@@ -92,8 +92,9 @@ def profiles(spark, side, names, more=()):
     from idweave.operators.fuzzy import _profiles
     from idweave.spec import FuzzyRule
 
-    table = spark.createDataFrame([(n, n, n, "1") for n in names], "p_nombres string, p_apellidos string, p_nombres_apellidos string, p_sexo string")
-    return _profiles(table.withColumn("p_idr", F.col("p_nombres")), side, FuzzyRule("r", date=None), (), more)
+    name = F.element_at(F.array(*map(F.lit, names)), (F.col("id") + 1).cast("int"))
+    table = spark.range(len(names)).select(*[name.alias(c) for c in ("p_nombres", "p_apellidos", "p_nombres_apellidos", "p_idr")], F.lit("1").alias("p_sexo"))
+    return _profiles(table, side, FuzzyRule("r", date=None), (), more)
 
 
 def test_candidates_are_close(spark):

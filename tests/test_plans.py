@@ -115,6 +115,16 @@ def test_chunks_of_copies_stay_apart(spark):
     assert len(tasks) == 4 and max(r.n for r in tasks) < 20_000
 
 
+def test_unfolded_keys_are_not_broadcast(spark):
+    """Keys unfolded by rule are many more rows than the files they come from let Spark expect."""
+    people = spark.range(1).selectExpr("'r1' as p_idr", "concat('x', id) as a", "1L as copies", "0 as last_stage")
+    rows_ = spark.range(1).selectExpr("'p1' as p_idp", "concat('x', id) as a")
+    assigned = assign_rules(people, rows_, [Rule("r", ("a",))])
+    pairs = matched_pairs(people, assigned, [Rule("r", ("a",))], copies=False)
+    assert plan(pairs).count("SortMergeJoin") >= 2
+    assert rows(pairs, "p_idr", "p_idp") == [("r1", "p1")]
+
+
 def test_null_keys_are_spread(spark, conf):
     left = spark.range(1000).selectExpr("concat('p', id) p_idp", "if(id < 10, cast(id as string), null) k")
     right = spark.range(20).selectExpr("cast(id as string) k", "id v").unionByName(
