@@ -58,10 +58,23 @@ PIPE = _table(b"|")
 MARK = _table(b"!")
 
 
-def _per_word(table: np.ndarray, words: Words) -> np.ndarray:
-    total = np.zeros(len(words.raw) + 1, np.int64)
-    np.cumsum(table[words.raw], out=total[1:])
-    return total[words.end] - total[words.start]
+def _per_word(tables: list[np.ndarray], words: Words) -> list[np.ndarray]:
+    """For each table the number of a word's bytes that it marks. Counts stand side by side in one number, in fields that hold
+    the longest word's length, so the text is summed once for as many tables as there is room for."""
+    width = max(1, int((words.end - words.start).max(initial=0)).bit_length())
+    room = 63 // width
+    out = []
+    for i in range(0, len(tables), room):
+        group = tables[i : i + room]
+        packed = np.zeros(256, np.int64)
+        for k, table in enumerate(group):
+            packed |= table.astype(np.int64) << (width * k)
+        total = np.zeros(len(words.raw) + 1, np.int64)
+        # Sums may wrap; differences over a word don't.
+        np.cumsum(packed[words.raw], out=total[1:])
+        counts = total[words.end] - total[words.start]
+        out += [counts >> (width * k) & ((1 << width) - 1) for k in range(len(group))]
+    return out
 
 
 def _shares(flag: np.ndarray, words: Words) -> list[np.ndarray]:
@@ -113,16 +126,16 @@ def features(raw: np.ndarray, offsets: np.ndarray, ratios: np.ndarray) -> np.nda
     words = Words(raw, offsets)
     h, n = words.hashes(), np.diff(words.first)
     row = np.repeat(np.arange(len(n)), n)
-    letters, upper = _per_word(LETTER, words), _per_word(UPPER, words)
+    letters, upper, symbols, pipes, marks, digits = _per_word([LETTER, UPPER, SYMBOL, PIPE, MARK, DIGIT], words)
     same = np.zeros(len(h), bool)
     same[1:] = (h[1:] == h[:-1]) & (row[1:] == row[:-1])
     size = words.end - words.start
     flags = [
         (upper > 1) & (upper * 2 > letters),
-        _per_word(SYMBOL, words) > 0,
-        _per_word(PIPE, words) > 0,
-        _per_word(MARK, words) > 1,
-        _per_word(DIGIT, words) > 0,
+        symbols > 0,
+        pipes > 0,
+        marks > 1,
+        digits > 0,
         same,
         size > 24,
         size < 4,

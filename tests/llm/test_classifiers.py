@@ -110,3 +110,19 @@ def test_sample_is_bounded_and_labels_settle(spark, table):
     got = linear.labelled_sample(table.select("doc_id", "text"), labels, F.col("toxic")).select("doc_id", "label").collect()
     assert sorted(map(tuple, got)) == [(1, 1), (3, 0)]
     assert linear.labelled_sample(table.select("doc_id"), table.select("doc_id", "toxic"), F.col("toxic"), rows=50).count() == 50
+
+
+def test_marked_bytes_of_words_are_counted_in_one_pass(monkeypatch):
+    from idweave.llm.arrays import Words
+
+    texts = [b"AB|c!! 12 $x", b"", "ÑandÚ #9".encode(), b"Q" * 70_000 + b" a|B"]
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    words = Words(raw, np.cumsum([0, *map(len, texts)]))
+    tables = [quality.LETTER, quality.UPPER, quality.SYMBOL, quality.PIPE, quality.MARK, quality.DIGIT]
+    want = [[int(t[raw[a:b]].sum()) for a, b in zip(words.start, words.end, strict=True)] for t in tables]
+    assert [c.tolist() for c in quality._per_word(tables, words)] == want
+    # Words of common length: all six counts from one sum over the text.
+    short = Words(raw[:25], np.array([0, 12, 25]))
+    sums, cumsum = [], np.cumsum
+    monkeypatch.setattr(np, "cumsum", lambda *a, **k: (sums.append(1), cumsum(*a, **k))[1])
+    assert len(quality._per_word(tables, short)) == 6 and len(sums) == 1
