@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -69,3 +70,15 @@ def test_bigrams(spark):
 def test_parts_are_found_in_any_case():
     assert similarity.has_parts(["P_NOMBRES", "p_apellidos"])
     assert not similarity.has_parts(["p_nombres"])
+
+
+def test_distances_sort_only_names_with_repeated_grams(spark):
+    df = spark.createDataFrame([(a,) for a, _ in names(300)], "a string")
+    both = similarity.with_grams(df, {"g": "a"}).select("a", "g_u", "g_x", "g_n2").collect()
+    plain = similarity.with_grams(df, {"g": "a"}, ordered=False).select("a", "g_u", "g_x", "g_n2").collect()
+    assert [(r.a, sorted(r.g_u), sorted(r.g_x), r.g_n2) for r in both] == [(r.a, sorted(r.g_u), sorted(r.g_x), r.g_n2) for r in plain]
+    pairs = spark.createDataFrame(names(5), "a string, b string")
+    text = similarity.with_distance(pairs, {"d": ("a", "b")})._jdf.queryExecution().optimizedPlan().toString()
+    # Every sort of grams stands behind the test that there is a repeat.
+    assert text.count("sort_array(") == len(re.findall(r"if \(\(size\(_[ab]0_u#\d+, \w+\) = size\(_[ab]0_codes#\d+, \w+\)\)\) \[\] else sort_array\(", text))
+    assert "sort_array(" in text
