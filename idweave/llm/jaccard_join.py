@@ -8,8 +8,9 @@ more parts than it can differ in, as it then agrees with what it links to in a p
 bitmaps bound the overlap of two sets from above; what passes is decided by intersecting their sorted arrays.
 
 Only the components of links are wanted, so a tile is no source of all pairs. First each set is held against the first and the
-last of its tile. Tiles that hold sets of more than one component after that are compared in full, by
-their bitmaps in blocks of ``BLOCK`` rows, between components only; what passes is decided exactly. So no link
+last of its tile. Tiles that hold sets of more than one component after that are compared in full, in blocks of ``BLOCK`` rows, between
+components only. A set is sent to its block once, and once more for each further block of its tile, with its bitmap folded to a
+quarter; each pair that passes is held against the whole bitmaps and then decided exactly. So no link
 between different components is lost, and a group of near copies of any size costs about one comparison each.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case. With fewer words than ``n`` the whole sequence is one n-gram.
@@ -40,6 +41,8 @@ from idweave.runtime import Workspace
 BLOCK = 1024
 #: Bits of a bitmap for each n-gram of the largest set of a band.
 BITS_EACH = 8
+#: Those of the folded bitmaps that tiles are compared by; sets as large as each other pass from about seven eighths of the wanted percentage on.
+BLOCK_BITS_EACH = 2
 MAX_SIZE = 1 << 40
 
 
@@ -147,7 +150,7 @@ def _signatures(join: Join):
                 # Of rows that share an id only those of the class are wanted.
                 keep = [_class(s)[0] == c for s, c in zip(sets, part.column("class").to_pylist(), strict=True)]
                 sets, part = [s for s, k in zip(sets, keep, strict=True) if k], part.filter(pa.array(keep, pa.bool_()))
-                bits = []
+                bits, folded = [], []
                 for own in sets:
                     band = int(np.searchsorted(bands, max(1, len(own)), side="right")) - 1
                     # As wide for this band and the next, so that the two can be compared after folding.
@@ -157,11 +160,13 @@ def _signatures(join: Join):
                     flags = np.zeros(width, bool)
                     flags[(mix(own, 15) % np.uint64(width)).astype(np.int64)] = True
                     bits.append(np.packbits(flags).tobytes())
+                    folded.append(_folded(_words(bits[-1]), max(64, width * BLOCK_BITS_EACH // BITS_EACH) // 64).tobytes())
                 yield pa.RecordBatch.from_pydict(
                     {
                         "class": part.column("class"),
                         "size": pa.array([len(s) for s in sets], pa.int64()),
                         "bits": pa.array(bits, pa.binary()),
+                        "folded": pa.array(folded, pa.binary()),
                         "grams": pa.array([s.tobytes() for s in sets], pa.binary()),
                     }
                 )
@@ -217,21 +222,25 @@ def _decided(join: Join):
 
 
 def _compare_blocks(join: Join):
-    """Rows of two blocks of a tile against each other, between components."""
+    """Rows of one block of a tile, or of two, against each other, between components, by their folded bitmaps."""
 
-    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
+    def cell(left: pa.Table, right: pa.Table | None = None) -> pa.Table:
         pairs: list[np.ndarray] = []
-        if left.num_rows and right.num_rows:
+        tables = [left] if right is None else [left, right]
+        if all(t.num_rows for t in tables):
             get = lambda t, c: t[c].to_numpy()
-            widths = {len(x) for t in (left, right) for x in t["bits"].to_pylist()}
-            wide = min(widths) // 8
-            bits = [np.stack([_folded(_words(x), wide) for x in t["bits"].to_pylist()]) for t in (left, right)]
+            bits = [[_words(x) for x in t["folded"].to_pylist()] for t in tables]
+            wide = min(len(x) for own in bits for x in own)
+            bits = [np.stack([_folded(x, wide) for x in own]) for own in bits]
             one, size, group = (get(left, c) for c in ("class", "size", "component"))
-            other, sizes, groups = (get(right, c) for c in ("class", "size", "component"))
+            other, sizes, groups = (get(tables[-1], c) for c in ("class", "size", "component"))
             for i in range(len(one)):
-                at = np.flatnonzero((groups != group[i]) & (100 * sizes >= join.percent * size[i]) & (100 * size[i] >= join.percent * sizes))
+                near = (groups != group[i]) & (100 * sizes >= join.percent * size[i]) & (100 * size[i] >= join.percent * sizes)
+                if right is None:
+                    near[: i + 1] = False
+                at = np.flatnonzero(near)
                 if len(at):
-                    most = _bound(bits[0][i], size[i], bits[1][at], sizes[at])
+                    most = _bound(bits[0][i], size[i], bits[-1][at], sizes[at])
                     at = at[join.linked(most, size[i], sizes[at])]
                     pairs.append(np.stack([np.full(len(at), one[i]), other[at]], axis=1))
         p = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
@@ -262,7 +271,7 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
     # Signatures of the sets that stand in such a tile, from one document each.
     wanted = work.store(shared.select("class").distinct().join(members, "class").select("class", "doc_id"), "wanted")
     known = rows.marked(texts.where("doc_id is not null"), wanted).where("_near").drop("_near")
-    signed = known.join(wanted, "doc_id").mapInArrow(_signatures(join), "class long, size long, bits binary, grams binary")
+    signed = known.join(wanted, "doc_id").mapInArrow(_signatures(join), "class long, size long, bits binary, folded binary, grams binary")
     signed = work.store(signed, "signatures")
 
     def met(pairs: DataFrame, column: str) -> DataFrame:
@@ -272,11 +281,10 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
         side = lambda x: some.select(F.col("class").alias(x), F.col("size").alias(f"size_{x}"), F.col(column).alias(f"{column}_{x}"))
         return pairs.join(side("a"), "a").join(side("b"), "b")
 
-    def decided(pairs: DataFrame, bounded: bool, name: str) -> DataFrame:
+    def decided(pairs: DataFrame, name: str) -> DataFrame:
         """Of stored pairs ``a, b`` those that link, stored."""
-        if not bounded:
-            pairs = work.store(met(pairs, "bits").mapInArrow(_bounded(join), "a long, b long"), f"{name}-bounded")
-            work.clean()
+        pairs = work.store(met(pairs, "bits").mapInArrow(_bounded(join), "a long, b long"), f"{name}-bounded")
+        work.clean()
         out = work.store(met(pairs, "grams").mapInArrow(_decided(join), "a long, b long"), name)
         work.drop(f"{name}-bounded")
         work.clean()
@@ -284,7 +292,7 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
 
     work.drop("wanted")
     work.clean()
-    links = decided(hubs, False, "links")
+    links = decided(hubs, "links")
     groups = work.store(connected(links, work, "first"), "groups")
 
     # Tiles that still hold more than one component, in blocks.
@@ -299,24 +307,26 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
     last = rest.groupBy("tile").agg(F.max("block").alias("last"), F.count(F.lit(1)).alias("rows"))
     small = last.where("rows = 2").select("tile")
     pairs_of_two = rest.join(small, "tile", "left_semi").groupBy("tile").agg(F.max("class").alias("a"), F.min("class").alias("b"))
-    more = rest.join(last.where("rows > 2"), "tile").join(signed.select("class", "size", "bits"), "class")
-    left = more.withColumn("other", F.explode(F.sequence(F.col("block"), F.col("last"))))
-    right = more.withColumn("other", F.col("block")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("other"))))
+    compare = _compare_blocks(join)
+    folded = signed.select("class", "size", "folded")
+    within = rest.join(last.where("rows > 2"), "tile", "left_semi").join(folded, "class")
+    within = within.groupBy("tile", "block").applyInArrow(lambda t: compare(t), "a long, b long")
+    more = rest.join(last.where("last > 0").select("tile", "last"), "tile").join(folded, "class")
+    left = more.where("block < last").withColumn("other", F.explode(F.sequence(F.col("block") + 1, F.col("last"))))
+    right = more.where("block > 0").withColumn("other", F.col("block")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("other") - 1)))
     key = ["tile", "block", "other"]
-    columns = [*key, "class", "component", "size", "bits"]
-    left, right = (work.store(x.select(columns), name) for x, name in ((left, "left"), (right, "right")))
-    compared = left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(_compare_blocks(join), "a long, b long")
-    passed = work.store(compared.distinct().join(hubs, ["a", "b"], "left_anti"), "passed")
-    work.drop("left", "right")
-    work.clean()
-    untried = work.store(pairs_of_two.select("a", "b").distinct().join(hubs, ["a", "b"], "left_anti"), "untried")
+    # Both sides come from one frame, so their columns are named anew.
+    left, right = (x.select(*[F.col(c).alias(c) for c in (*key, "class", "component", "size", "folded")]) for x in (left, right))
+    across = left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(lambda x, y: compare(x, y), "a long, b long")
+    untried = pairs_of_two.select("a", "b").unionByName(within).unionByName(across).distinct()
+    untried = work.store(untried.join(hubs, ["a", "b"], "left_anti"), "untried")
     work.clean()
-    late = decided(untried, False, "late").unionByName(decided(passed, True, "late-passed"))
-    work.drop("signatures", "hubs", "open", "passed", "untried")
+    late = decided(untried, "late")
+    work.drop("signatures", "hubs", "open", "untried")
     if not late.isEmpty():
         groups = work.store(connected(links.unionByName(late), work, "second"), "all-groups")
         work.drop("groups")
-    work.drop("links", "late", "late-passed")
+    work.drop("links", "late")
 
     # Classes to components, components to their least document.
     placed = members.join(groups.withColumnRenamed("node", "class"), "class", "left")

@@ -3,6 +3,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,6 +65,57 @@ def test_components_equal_all_pairs(spark, docs, n, percent, monkeypatch):
     assert got == components(pairs, join)
 
 
+@pytest.mark.parametrize("block", [4, 1024])
+def test_tiles_are_compared_by_folded_bitmaps(docs, block, monkeypatch):
+    """Texts that share half of their words meet in many tiles without a link; whole bitmaps travel for pairs only, not for tiles."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    plans, widths, sizes, store = [], [], [], Workspace.store
+
+    def spied(self, frame, name):
+        plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        out = store(self, frame, name)
+        if name == "signatures":
+            widths.extend(out.select(F.length("bits"), F.length("folded")).collect())
+        if name == "open":
+            sizes.extend(r["n"] for r in out.groupBy("tile").agg(F.count(F.lit(1)).alias("n")).collect())
+        return out
+
+    monkeypatch.setattr(Workspace, "store", spied)
+    rng = random.Random(8)
+    shared, pairs = sentence(rng, 150, 10**6), []
+    for i in range(40):
+        text = f"{shared} {sentence(rng, rng.randrange(20, 150), 10**6)}"
+        pairs += [(10 * i + k, edited(rng, text, k * 4)) for k in range(rng.choice([1, 1, 3]))]
+    join = jaccard_join.Join(5, 80)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(docs(pairs), join).collect()}
+    assert found == components(pairs, join)
+    assert max(sizes) > 8 and len({c for _, c in found.values()}) > 30
+    compared = [plan for plan in plans if "GroupsInArrow" in plan]
+    assert compared and not any("bits#" in line for plan in compared for line in plan.splitlines() if "Relation" not in line)
+    assert widths and all(folded * jaccard_join.BITS_EACH <= max(8 * jaccard_join.BITS_EACH, bits * jaccard_join.BLOCK_BITS_EACH) for bits, folded in widths)
+
+
+def test_folded_bitmaps_bound_the_overlap():
+    """However far two bitmaps are folded, what they share is never taken for less than it is."""
+    rng = np.random.default_rng(5)
+    join = jaccard_join.Join(5, 80)
+    for n in (1, 3, 40, 300):
+        a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for kept in range(0, n + 1, max(1, n // 7)):
+            b = np.concatenate([a[:kept], rng.integers(0, 1 << 63, n - kept + 1, dtype=np.uint64)])
+            sets = [np.unique(x) for x in (a, b)]
+            batch = pa.RecordBatch.from_pydict({"class": pa.array([0, 0]), "text": pa.array(["", ""])})
+            made = []
+            for own in sets:
+                with pytest.MonkeyPatch.context() as m:
+                    m.setattr(jaccard_join, "_sets", lambda *_, own=own: [own])
+                    m.setattr(jaccard_join, "_class", lambda _: (0, 0))
+                    made.append(next(jaccard_join._signatures(join)(iter([batch.slice(0, 1)]))).to_pylist()[0])
+            words = [jaccard_join._words(x["folded"]) for x in made]
+            bound = jaccard_join._bound(words[0], len(sets[0]), words[1], len(sets[1]))
+            assert len(np.intersect1d(*sets)) <= bound <= min(len(x) for x in sets)
+
+
 def test_long_words_without_a_common_place(docs):
     """The two words that differ in every letter, and that a polynomial hash modulo a power of two can't tell apart."""
     word = "".join("ab"[i.bit_count() % 2] for i in range(2048))
