@@ -9,10 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from idweave.llm import decontamination, jaccard_join, mixing, quality, queries, suffix_dedup
 from idweave.runtime import Workspace
@@ -37,17 +35,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return kept if again.isEmpty() else kept.distinct()
 
 
-@F.arrow_udf(StringType())
-def _text(kept: pa.Array) -> pa.Array:
-    """Bytes as text; characters of which a part is gone go as a whole."""
-    return pa.array([None if x is None else x.decode("utf-8", "ignore") for x in kept.to_pylist()], pa.string())
-
-
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the bytes that stand anywhere else too; those of which nothing is left go."""
-    cut = suffix_dedup.deduplicated(docs.select(COLUMNS), carry=("text", "lang", "source", "n_chars"))
+    """Documents without the bytes that stand anywhere else too, nor the characters they were a part of; those of which nothing is left go."""
+    cut = suffix_dedup.deduplicated(docs.select(COLUMNS), carry=("text", "lang", "source", "n_chars"), decoded=True)
     changed = F.size("spans") > 0
-    text = F.when(changed, _text(F.col("kept"))).otherwise(F.col("text"))
+    text = F.when(changed, F.col("kept_text")).otherwise(F.col("text"))
     kept = cut.select("doc_id", text.alias("text"), "lang", "source", F.when(changed, F.length(text).cast("long")).otherwise(F.col("n_chars")).alias("n_chars"), changed.alias("_changed"))
     return kept.where("not _changed or length(trim(text)) > 0").select(COLUMNS)
 

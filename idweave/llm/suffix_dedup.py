@@ -392,7 +392,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return found
 
 
-def _cut(window: int, carry: tuple[str, ...]):
+def _cut(window: int, carry: tuple[str, ...], decoded: bool):
     removed = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -415,14 +415,17 @@ def _cut(window: int, carry: tuple[str, ...]):
                 turn = np.flatnonzero(np.diff(np.concatenate([[False], out, [False]]).astype(np.int8)))
                 gone.append([{"start": int(a), "end": int(b)} for a, b in zip(turn[::2], turn[1::2], strict=True)])
             made = {"kept": pa.array(kept, pa.binary()), "n_bytes": np.diff(offsets), "spans": pa.array(gone, removed)}
+            if decoded:
+                made["kept_text"] = pa.array([x.decode("utf-8", "ignore") if g else None for x, g in zip(kept, gone, strict=True)], pa.string())
             yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("doc_id", "part", *carry)} | made)
 
     return cut
 
 
-def deduplicated(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...] = ()) -> DataFrame:
+def deduplicated(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...] = (), decoded: bool = False) -> DataFrame:
     """``doc_id, part, kept`` (the remaining bytes), ``n_bytes`` of the input and the removed ``spans`` of bytes, with the columns
-    of the input that ``carry`` names. ``part`` tells rows apart that share an id."""
+    of the input that ``carry`` names. ``part`` tells rows apart that share an id. With ``decoded`` comes ``kept_text``: of rows with removed
+    spans the remaining bytes as text, without characters of which a part is gone; null for the others."""
     if window < 2:
         raise ValueError("a window has 2 bytes or more")
     known = rows.numbered(docs, carry)
@@ -430,5 +433,5 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...] =
     joined = rows.meet(known, found)
     types = dict(joined.dtypes)
     carried = "".join(f"`{c}` {types[c]}, " for c in carry)
-    schema = f"doc_id long, part int, {carried}kept binary, n_bytes long, spans array<struct<start:int,end:int>>"
-    return joined.mapInArrow(_cut(window, carry), schema)
+    schema = f"doc_id long, part int, {carried}kept binary, n_bytes long, spans array<struct<start:int,end:int>>{', kept_text string' if decoded else ''}"
+    return joined.mapInArrow(_cut(window, carry, decoded), schema)

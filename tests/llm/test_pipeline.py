@@ -1,5 +1,6 @@
 """The pipeline on the smallest tables, stage by stage, and the contracts of queries."""
 
+import random
 from pathlib import Path
 
 import pytest
@@ -9,6 +10,7 @@ import corpus_pipeline as cp
 from idweave.llm import decontamination, jaccard_join
 from idweave.runtime import Workspace
 
+from .conftest import sentence
 from .test_duplicates import components, item_shingles, removed_bytes
 
 DATA = "/root/testdata/sf0.001"
@@ -54,6 +56,22 @@ def test_repeated_bytes_go(stages):
     assert dict(texts(stages["suffix_dedup"])) == after
 
 
+def test_cut_texts_are_made_where_they_are_cut(spark, docs):
+    """Repeats that begin inside a character; one Python step a task, as each further one holds workers and their memory."""
+    rng = random.Random(3)
+    shared = sentence(rng, 200, 10**6)[:450]
+    head, tail = ([sentence(rng, 30, 10**6) for _ in range(4)] for _ in range(2))
+    pairs = [(i, f"{head[i]}{c}{shared}{tail[i]}") for i, c in enumerate("\u00e9\u0129")] + [(2, head[2]), (3, None), (4, shared), (5, ""), (6, f"{shared}\u00e9")]
+    frame = cp.without_repeats(spark, docs(pairs), DATA)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in frame.collect()}
+    raw = {i: b for i, b in removed_bytes(pairs, 400).items()}
+    expected = {i: x if raw[i][1] else t for i, t in pairs if (x := raw[i][3].decode("utf-8", "ignore")).strip() or not raw[i][1]}
+    assert got == {i: (t, len(t or "")) for i, t in expected.items()}
+    assert raw[0][3] != got[0][0].encode() and 4 not in got
+
+
 def test_documents_with_test_items_go(spark, stages):
     items = [item_shingles(r["text"]) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
     before = texts(stages["suffix_dedup"])
