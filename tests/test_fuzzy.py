@@ -122,3 +122,58 @@ def test_unlike_blocks_are_refused(spark):
 
     with pytest.raises(ValueError, match="block"):
         fuzzy_match(None, None, [FuzzyRule("a"), FuzzyRule("b", date="p_fecha_de_fatte")], True)
+
+
+def test_pairs_are_compared_where_they_meet(spark):
+    """Both sides are shuffled once, unfolded by gram. Pairs, of which there may be many more, are not."""
+    people, asked = (profiles(spark, side, ["ANA MARIA PAZ", "LUIS VERA"], more) for side, more in (("r", ["p_idr"]), ("p", [])))
+    pairs = fuzzy_pairs(people, asked, 0, False)
+    assert pairs._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2
+    assert rows(pairs, "p_no", "p_idr") == [(r.p_no, r.p_idr) for r in people.selectExpr("r_no as p_no", "p_idr").sort("p_no").collect()]
+
+
+@pytest.mark.parametrize("wide", "pr")
+def test_pairs_meet_once(spark, wide):
+    """Names that share many grams, with dates near enough for several buckets."""
+    from idweave.operators.fuzzy import _profiles
+
+    names = ["ANA MARIA PAZ VERA", "ANA MARIA PAZ VERAS", "ANANANA PAZ"]
+    recs = [(str(i), n, n, n, "1", START + dt.timedelta(days=d)) for i, n in enumerate(names) for d in (0, 20, 29, 50)]
+    people, asked = (_profiles(spark.createDataFrame(recs, REG), side, FUZZY_RULES[1], ()) for side in "rp")
+    found = candidates(people, asked, 30, 0.8, wide)
+    near = sum(abs((a[5] - b[5]).days) < 30 for a in recs for b in recs if a[0] == b[0] or {a[0], b[0]} == {"0", "1"})
+    assert found.count() == found.select("p_no", "r_no").distinct().count() == near
+
+
+def test_steps_find_the_same(spark, monkeypatch):
+    """A search in several steps, some of them parts of a single gram, equals the search of all pairs."""
+    from idweave.operators import fuzzy
+
+    rng = random.Random(3)
+    people = [person(rng, i, "r", 90) for i in range(60)]
+    pivot = [person(rng, i, "p", 90) for i in range(60)]
+    taken = []
+
+    def steps_of(volumes, most):
+        taken.extend(plan(volumes, sum(volumes.values()) // 12))
+        return taken
+
+    plan = fuzzy.steps_of
+    monkeypatch.setattr(fuzzy, "steps_of", steps_of)
+    found = fuzzy_match(spark.createDataFrame(people, REG), spark.createDataFrame(pivot, PIV), FUZZY_RULES, True)
+    assert rows(found, "p_idp", "p_idr", "id_etiqueta", "semidifuso") == brute(people, pivot, FUZZY_RULES, True)
+    assert len(taken) > 5 and max(step.parts for step in taken) > 1
+
+
+def test_steps_have_all_grams_once():
+    from idweave.operators.fuzzy import Step, steps_of
+
+    assert steps_of({}, 10) == steps_of({3: 4, 5: 6}, 10) == [Step()]
+    assert steps_of({0: 25, 7: 10, 9: 1, 12: 11}, 10) == [
+        *(Step(0, 1, part, 3) for part in range(3)), Step(1, 9), Step(9, 12), Step(12, 13, 0, 2), Step(12, 13, 1, 2)
+    ]
+    for most in (1, 5, 17, 200):
+        volumes = {place: place % 13 + 1 for place in range(0, 300, 3)}
+        for place, volume in volumes.items():
+            mine = [s for s in steps_of(volumes, most) if s.low <= place and (s.high is None or place < s.high)]
+            assert sorted(s.part for s in mine) == list(range(mine[0].parts)) and volume <= most * mine[0].parts
