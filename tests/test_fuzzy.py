@@ -177,3 +177,17 @@ def test_steps_have_all_grams_once():
         for place, volume in volumes.items():
             mine = [s for s in steps_of(volumes, most) if s.low <= place and (s.high is None or place < s.high)]
             assert sorted(s.part for s in mine) == list(range(mine[0].parts)) and volume <= most * mine[0].parts
+
+
+def test_persons_used_once_read_stored_matches(spark, tmp_path):
+    """f05 reads the matches twice, so they are stored: the search is in no plan twice."""
+    import __spark_entry__ as entry
+
+    spark.range(40).selectExpr("id as c_custkey", "id % 5 as c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(600).selectExpr("id as o_orderkey", "id % 37 as o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    used = entry.queries()["f05_unico"](spark, str(tmp_path))
+    assert "Window" not in used._jdf.queryExecution().executedPlan().toString()
+    matches = rows(entry.queries()["f02_fuzzy_range"](spark, str(tmp_path)), "p_idr", "id_hash")
+    persons = [m[0] for m in matches]
+    once = [m for m in matches if persons.count(m[0]) == 1]
+    assert once and len(once) < len(matches) and rows(used, "p_idr", "id_hash") == once
