@@ -172,6 +172,15 @@ def test_counts_while_writing_and_stored_tables(spark, tmp_path):
     assert write_results(result, "t_", Sink("parquet", str(tmp_path))) == {r.id_etiqueta: r["count"] for r in summary.collect()}
 
 
+def test_settled_rows_are_shuffled_for_their_outcome_only(spark):
+    """What is unresolved is stored with its score, packed, and each outcome reads the rows it can have."""
+    result = link(*frames(spark), LinkageSpec(columns=COLUMNS))
+    for outcome, bound in ((result.residual, "LessThan(semidifuso"), (result.not_found, "GreaterThanOrEqual(semidifuso")):
+        assert bound in outcome._jdf.queryExecution().executedPlan().toString()
+    names = [p.name for p in Path(result.work.path.removeprefix("file:")).glob("unresolved/part-*")]
+    assert names and all(name.endswith("zstd.parquet") for name in names)
+
+
 def test_a_failed_step_leaves_no_tables(spark, monkeypatch):
     made = []
     monkeypatch.setattr("idweave.plans.linkage.residual_join", lambda *_: made.append(1) or 1 / 0)
